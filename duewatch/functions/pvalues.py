@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 def kolmogorov_tail(statistic: Column, n_left: Column, n_right: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample p-value with Stephens' small-sample correction."""
-    size = F.sqrt(n_left * n_right / (n_left + n_right).cast("double"))
+    left, right = n_left.cast("double"), n_right.cast("double")
+    size = F.sqrt(left * right / (left + right))
     scaled = (size + F.lit(0.12) + F.lit(0.11) / size) * statistic
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
