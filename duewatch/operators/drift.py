@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duewatch.functions.numeric import ratio
 from duewatch.functions.pvalues import chi_square_tail, kolmogorov_tail
 from duewatch.operators.ranking import SLICE, exact_quantiles, in_slices, inside_slice, slices_before
 
@@ -46,7 +47,7 @@ def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
     sliced = in_slices(counts, ["feature"], "value").join(F.broadcast(side_totals(values, side)), "feature")
     frame = inside_slice(["feature"], "value")
-    gap = F.sum("_ref").over(frame) / F.col("_n_ref") - F.sum("_cur").over(frame) / F.col("_n_cur")
+    gap = ratio(F.sum("_ref").over(frame), F.col("_n_ref")) - ratio(F.sum("_cur").over(frame), F.col("_n_cur"))
     slices = (
         sliced.withColumn("_gap", gap)
         .groupBy("feature", SLICE)
@@ -55,13 +56,14 @@ def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
             F.min("_gap").alias("_lowest"),
             F.sum("_ref").alias("_ref"),
             F.sum("_cur").alias("_cur"),
-            F.first("_n_ref").alias("_n_ref"),
-            F.first("_n_cur").alias("_n_cur"),
+            F.max("_n_ref").alias("_n_ref"),
+            F.max("_n_cur").alias("_n_cur"),
         )
     )
     earlier = slices_before(["feature"])
     start = F.coalesce(
-        F.sum("_ref").over(earlier) / F.col("_n_ref") - F.sum("_cur").over(earlier) / F.col("_n_cur"), F.lit(0.0)
+        ratio(F.sum("_ref").over(earlier), F.col("_n_ref")) - ratio(F.sum("_cur").over(earlier), F.col("_n_cur")),
+        F.lit(0.0),
     )
     widest = F.greatest(F.col("_start") + F.col("_highest"), -(F.col("_start") + F.col("_lowest")))
     return (

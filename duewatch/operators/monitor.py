@@ -67,13 +67,6 @@ def auc_trend(
     return roc_auc(old.unionByName(new), ["month", "group"], label, score).select("month", "group", "auc")
 
 
-def after_newest(reference: DataFrame, current: DataFrame, date_col: str) -> DataFrame:
-    """The current rows, all dated one month after the newest reference month."""
-    newest = reference.agg(F.add_months(month_start(F.max(date_col)), 1).alias("month"))
-    # A one-row table.
-    return current.drop("month").join(F.broadcast(newest))
-
-
 def auc_trend_next_month(
     reference: DataFrame,
     current: DataFrame,
@@ -124,13 +117,10 @@ def performance_status(scores: DataFrame, drift: DataFrame) -> DataFrame:
     any_weak = F.lit(False)
     for condition in weak:
         any_weak = any_weak | F.coalesce(condition, F.lit(False))
-    performance = months.agg(
-        F.when(F.bool_or(any_weak), F.lit("Bad")).otherwise(F.lit("Good")).alias("model_auc_performance")
-    ).withColumn("_one", F.lit(1))
+    performance = months.agg(F.when(F.bool_or(any_weak), F.lit("Bad")).otherwise(F.lit("Good"))).scalar()
     drifted = F.count_if(F.col("drift_detected")).cast("string")
     text = F.concat(drifted, F.lit(" / "), F.count(F.lit(1)).cast("string"), F.lit(" features drifted"))
-    summary = drift.agg(text.alias("feature_drift")).withColumn("_one", F.lit(1))
-    return performance.join(summary, "_one").select("feature_drift", "model_auc_performance")
+    return drift.agg(text.alias("feature_drift")).withColumn("model_auc_performance", performance)
 
 
 def auc_alerts(scores: DataFrame) -> DataFrame:
@@ -150,13 +140,10 @@ def highest_level(alerts: DataFrame, drift: DataFrame) -> DataFrame:
     """One row: the most severe level, OK without alerts, and whether anything has to be sent."""
     rank = F.array_position(F.array(*[F.lit(name) for name in LEVELS]), F.col("level"))
     worst = F.coalesce(F.max(rank), F.lit(1)).cast("int")
-    level = alerts.agg(
-        F.element_at(F.array(*[F.lit(name) for name in LEVELS]), worst).alias("highest_level")
-    ).withColumn("_one", F.lit(1))
+    level = alerts.agg(F.element_at(F.array(*[F.lit(name) for name in LEVELS]), worst)).scalar()
     drifted = drift.agg(F.coalesce(F.bool_or("drift_detected"), F.lit(False)).alias("feature_drift_detected"))
-    joined = level.join(drifted.withColumn("_one", F.lit(1)), "_one")
     needed = (F.col("highest_level") != "OK") | F.col("feature_drift_detected")
-    return joined.select("highest_level", "feature_drift_detected", needed.alias("alert_raised"))
+    return drifted.select(level.alias("highest_level"), "feature_drift_detected").withColumn("alert_raised", needed)
 
 
 def alert_table(alerts: DataFrame, drift: DataFrame) -> DataFrame:

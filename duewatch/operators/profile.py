@@ -28,9 +28,8 @@ def score_summary(scored: DataFrame, score: str = "default_probability") -> Data
 def category_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows and share per category."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    # A one-row total.
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.join(F.broadcast(total)).select(column, "rows", (F.col("rows") / F.col("_total")).alias("share"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.select(column, "rows", (F.col("rows") / total).alias("share"))
 
 
 def months_with_rows(df: DataFrame, date_col: str, value_col: str) -> DataFrame:
@@ -77,13 +76,11 @@ def outside(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
 def histogram_by_group(df: DataFrame, value_col: str, group_col: str, bins: int = 100) -> DataFrame:
     """Equal-width bins over the whole value range, counted per group and for all groups together."""
     known = df.where(F.col(value_col).isNotNull())
-    # A one-row table of the bounds.
-    bounds = known.agg(F.min(value_col).cast("double").alias("_low"), F.max(value_col).cast("double").alias("_high"))
-    placed = known.select(F.col(group_col).alias("group"), F.col(value_col).cast("double").alias("_value")).join(
-        F.broadcast(bounds)
-    )
-    width = (F.col("_high") - F.col("_low")) / bins
-    number = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("_value") - F.col("_low"), width))).cast("int")
+    value = F.col(value_col).cast("double")
+    bounds = known.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    placed = known.select(F.col(group_col).alias("group"), value.alias("_value"), bounds.alias("_range"))
+    width = (F.col("_range.high") - F.col("_range.low")) / bins
+    number = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("_value") - F.col("_range.low"), width))).cast("int")
     counted = placed.groupBy("group", F.coalesce(number, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
     overall = counted.groupBy("bin").agg(F.sum("rows").alias("rows")).select(F.lit("(all)").alias("group"), "bin", "rows")
     return counted.unionByName(overall)
