@@ -15,15 +15,15 @@ BLANK_CREDIT_MIX = ["_", "", "NA", "NaN"]
 
 def whole_number(value: Column) -> Column:
     """Text or number to int, dropping the fraction ('3.5' gives 3)."""
-    return value.cast("string").try_cast("double").try_cast("int")
+    return value.try_cast("double").try_cast("int")
 
 
 def decimal_number(value: Column) -> Column:
-    return value.cast("string").try_cast("double")
+    return value.try_cast("double")
 
 
 def calendar_date(value: Column) -> Column:
-    return value.cast("string").try_cast("date")
+    return value.try_cast("date")
 
 
 def trim_underscores(value: Column) -> Column:

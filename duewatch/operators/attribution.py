@@ -68,7 +68,7 @@ def row_attributions(values: np.ndarray, tree_leaves: list[tuple]) -> np.ndarray
         for point, weight in zip((points + 1) / 2, weights / 2):
             factors = share * (1 - point) + passed * point
             rest = factors.prod(axis=1, keepdims=True) / factors
-            np.add.at(result, (slice(None), used), value * weight * (passed - share) * rest)
+            result[:, used] += value * weight * (passed - share) * rest
     return result
 
 
