@@ -49,23 +49,23 @@ def feat_loan_diversity(inputs: Inputs) -> DataFrame:
 
 @query(feature_check("Click_Total"))
 def feat_click_total(inputs: Inputs) -> DataFrame:
-    return derived(inputs, features.click_summary()).select(*KEYS, "Click_Total")
+    return derived(inputs, features.click_total())
 
 
 @query(feature_check("Click_Mean"))
 def feat_click_mean(inputs: Inputs) -> DataFrame:
-    return derived(inputs, features.click_summary()).select(*KEYS, "Click_Mean")
+    return derived(inputs, features.click_total(), features.click_mean())
 
 
 @query(feature_check("Click_Variance"))
 def feat_click_variance(inputs: Inputs) -> DataFrame:
-    return derived(inputs, features.click_summary()).select(*KEYS, "Click_Variance")
+    return derived(inputs, features.click_total(), features.click_mean(), features.click_variance())
 
 
 @query(feature_check("Debt_to_Click_Ratio", "Income_to_Utilization", "Investment_to_Clicks", "Age_to_Credit_Age_Ratio",
                      "EMI_to_Debt_Ratio", "Debt_to_Salary_Interaction", "Debt_Interest_Product"))
 def feat_cross(inputs: Inputs) -> DataFrame:
-    return derived(inputs, features.click_summary(), features.cross_features())
+    return derived(inputs, features.click_total(), features.cross_features())
 
 
 @query(feature_check("Log_Debt", "Log_Income", "Credit_Utilization_Sq", "Credit_Utilization_Cube"))

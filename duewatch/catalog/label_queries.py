@@ -12,6 +12,7 @@ from duewatch.operators import labelled, profile
 from duewatch.operators.loans import bad_rate_by_month_on_book
 from duewatch.operators.monitor import OOT, TEST, TRAIN
 from duewatch.operators.ranking import roc_auc
+from duewatch.session import staged
 from duewatch.sources.schemas import CLICK_FEATURES
 
 # The given orders run from 1995 to August 2001.
@@ -44,7 +45,8 @@ FROM gold_labels l JOIN gold_features f ON f.Customer_ID = l.Customer_ID
 
 
 def training_rows(inputs: Inputs) -> DataFrame:
-    return labelled.training_set(inputs.labels(), inputs.features())
+    """Labels joined with the written feature table, as in the pipeline."""
+    return labelled.training_set(inputs.labels(), staged(inputs.features(), "feature-store"))
 
 
 @query("SELECT Customer_ID, label, feature_snapshot_date, Age, Outstanding_Debt, fe_1, Click_Total, "

@@ -81,13 +81,13 @@ def yes_no(value: Column) -> Column:
 
 def loan_items(value: Column) -> Column:
     """The listed loan types. 'and' is a separator wherever it stands, inside words too."""
-    parts = F.transform(F.split(F.regexp_replace(value, "and", ","), ","), F.trim)
+    parts = F.transform(F.split(F.regexp_replace(value, "and", ","), ","), lambda item: F.trim(item))
     return F.filter(parts, lambda item: ~item.isin("", "Not Specified"))
 
 
 def loan_item_words(value: Column) -> Column:
     """As ``loan_items`` with 'and' as a whole word only, each type once, null as empty."""
-    parts = F.transform(F.split(F.regexp_replace(value, r"\band\b", ","), ","), F.trim)
+    parts = F.transform(F.split(F.regexp_replace(value, r"\band\b", ","), ","), lambda item: F.trim(item))
     kept = F.filter(parts, lambda item: (item != "") & (F.lower(item) != "not specified"))
     return F.coalesce(F.array_sort(F.array_distinct(kept)), F.array().cast("array<string>"))
 

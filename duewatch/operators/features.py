@@ -60,12 +60,18 @@ def loan_diversity() -> Expressions:
     return {"Loan_Diversity_Score": total([F.col(f"`{name}`") for name in [*KNOWN_LOANS, "unseen"]])}
 
 
-def click_summary() -> Expressions:
-    """Sum, mean and population variance across the click columns of a row."""
-    clicks = [F.col(name) for name in CLICK_FEATURES]
-    clicked = total(clicks)
-    mean = clicked * F.lit(1.0 / len(clicks))
-    return {"Click_Total": clicked, "Click_Mean": mean, "Click_Variance": row_variance(clicks, mean)}
+def click_total() -> Expressions:
+    return {"Click_Total": total([F.col(name) for name in CLICK_FEATURES])}
+
+
+def click_mean() -> Expressions:
+    """Needs ``Click_Total``."""
+    return {"Click_Mean": F.col("Click_Total") * F.lit(1.0 / len(CLICK_FEATURES))}
+
+
+def click_variance() -> Expressions:
+    """Population variance across the click columns. Needs ``Click_Mean``."""
+    return {"Click_Variance": row_variance([F.col(name) for name in CLICK_FEATURES], F.col("Click_Mean"))}
 
 
 def cross_features() -> Expressions:
@@ -125,13 +131,17 @@ def year_end_flag() -> Expressions:
 
 
 def with_features(joined: DataFrame) -> DataFrame:
-    """All derived features in two projections: those read by others first."""
+    """All derived features, in projections ordered by what they need.
+
+    A value read many times gets a projection of its own: Spark keeps such
+    projections apart instead of repeating the expression at each place.
+    """
     first = {
-        **ratio_features(), **loan_diversity(), **click_summary(), **curved_features(), **age_bucket(),
+        **ratio_features(), **loan_diversity(), **click_total(), **curved_features(), **age_bucket(),
         **minimum_payment_flag(), **job_indicator(), **year_end_flag(),
     }
-    second = {**cross_features(), **threshold_flags(), **debt_ratio_bin()}
-    return joined.withColumns(first).withColumns(second)
+    second = {**click_mean(), **cross_features(), **threshold_flags(), **debt_ratio_bin()}
+    return joined.withColumns(first).withColumns(second).withColumns(click_variance())
 
 
 def feature_store(attributes: DataFrame, financials: DataFrame, clicks: DataFrame) -> DataFrame:
