@@ -42,10 +42,10 @@ def long_sql(names: list[str], kind: str) -> str:
 
 
 KS_SQL = """
-SELECT feature, statistic, n_reference, n_current, CASE WHEN lambda < 0.2 THEN 1.0 ELSE
-       greatest(0, least(1, (SELECT sum((CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0 * j * j * lambda * lambda)) FROM range(1, 101) t(j)))) END AS p_value
+SELECT feature, statistic, n_reference, n_current, CASE WHEN scaled < 0.2 THEN 1.0 ELSE
+       greatest(0, least(1, (SELECT sum((CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0 * j * j * scaled * scaled)) FROM range(1, 101) t(j)))) END AS p_value
 FROM (SELECT feature, statistic, n_reference, n_current,
-             (sqrt(e) + CAST(0.12 AS DOUBLE) + CAST(0.11 AS DOUBLE) / sqrt(e)) * statistic AS lambda
+             (sqrt(e) + CAST(0.12 AS DOUBLE) + CAST(0.11 AS DOUBLE) / sqrt(e)) * statistic AS scaled
       FROM (SELECT feature, max(abs(ref_share - cur_share)) AS statistic, max(n_reference) AS n_reference,
                    max(n_current) AS n_current,
                    CAST(max(n_reference) AS DOUBLE) * max(n_current) / (max(n_reference) + max(n_current)) AS e
