@@ -20,7 +20,9 @@ def gold_label(inputs: Inputs) -> DataFrame:
 
 @query("SELECT Customer_ID, snapshot_date, Age, Occupation, Outstanding_Debt, Spend_Level, fe_1, fe_20 FROM gold_joined")
 def gold_join(inputs: Inputs) -> DataFrame:
-    return inputs.joined().select(*KEYS, "Age", "Occupation", "Outstanding_Debt", "Spend_Level", "fe_1", "fe_20")
+    """The three stored tables, carried forward, joined on customer and month."""
+    joined = features.joined_sources(inputs.silver_attributes(), inputs.silver_financials(), inputs.silver_clicks())
+    return joined.select(*KEYS, "Age", "Occupation", "Outstanding_Debt", "Spend_Level", "fe_1", "fe_20")
 
 
 def derived(inputs: Inputs, *steps: dict) -> DataFrame:

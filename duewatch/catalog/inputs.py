@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 
 from duewatch.catalog.views import FIRST_MONTH, GIVEN_TABLES, LAST_MONTH, RAW_VIEWS
 from duewatch.operators.customers import clean_clicks
-from duewatch.operators.features import FULL_FEATURES, feature_store, joined_sources, model_table
+from duewatch.operators.features import FULL_FEATURES, model_table
 from duewatch.operators.loans import default_labels, loan_status
-from duewatch.plans.tables import silver_attributes, silver_financials
+from duewatch.plans.tables import RawTables, gold_features, known_customers, silver_attributes, silver_financials
 
 
 class Inputs:
@@ -40,12 +40,17 @@ class Inputs:
     def silver_clicks(self) -> DataFrame:
         return clean_clicks(self.raw("raw_clicks"))
 
+    def raw_tables(self) -> RawTables:
+        return RawTables(*[self.raw(f"raw_{name}") for name in ("loans", "attributes", "clicks", "financials")])
+
     def joined(self) -> DataFrame:
-        return joined_sources(self.silver_attributes(), self.silver_financials(), self.silver_clicks())
+        return known_customers(self.raw_tables(), FIRST_MONTH, LAST_MONTH)
+
+    def store(self) -> DataFrame:
+        return gold_features(self.raw_tables(), FIRST_MONTH, LAST_MONTH)
 
     def features(self) -> DataFrame:
-        store = feature_store(self.silver_attributes(), self.silver_financials(), self.silver_clicks())
-        return model_table(store, FULL_FEATURES)
+        return model_table(self.store(), FULL_FEATURES)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from duewatch.catalog.inputs import Inputs, rounded
 from duewatch.catalog.registry import query
 from duewatch.catalog.views import BASE_NAMES, FEATURE_SQL, FIRST_MONTH, LAST_MONTH, LOAN_NAMES, feature_sql
-from duewatch.operators.features import FULL_FEATURES, LINEAR_FEATURES, feature_store, model_table
+from duewatch.operators.features import LINEAR_FEATURES, model_table
 from duewatch.operators.labelled import complete_rows, dropped_counts, training_set
 from duewatch.operators.learning import encoded, feature_columns
-from duewatch.operators.loans import loan_status, typed
+from duewatch.operators.loans import typed
 from duewatch.operators.months import at_month, latest_known, month_list, restamped, run_months
-from duewatch.plans.tables import month_rows
 from duewatch.session import fresh_path
 from duewatch.sources import schemas
 from duewatch.sources.records import append_records, latest_record, read_records
@@ -165,8 +164,7 @@ def prj_model_full(inputs: Inputs) -> DataFrame:
 
 @query(f"SELECT Customer_ID, snapshot_date, {feature_sql([*BASE_NAMES, *LOAN_NAMES, 'unseen', *FEATURE_SQL], filled=True)} FROM gold_joined")
 def prj_model_linear(inputs: Inputs) -> DataFrame:
-    store = feature_store(inputs.silver_attributes(), inputs.silver_financials(), inputs.silver_clicks())
-    return rounded(model_table(store, LINEAR_FEATURES))
+    return rounded(model_table(inputs.store(), LINEAR_FEATURES))
 
 
 @query("SELECT 'numeric' AS kind, 'l_quantity' AS column_name, count(l_quantity) AS rows FROM lineitem UNION ALL "
@@ -186,9 +184,6 @@ def prj_feature_columns(inputs: Inputs) -> DataFrame:
     return counts.select(kind.alias("kind"), "column_name", "rows")
 
 
-FINANCE_COLUMNS = ["Age_group", "Changed_Credit_Limit", "Credit_History_Months"]
-
-
 @query("""SELECT snapshot_date, count(*) AS rows,
        count(CASE WHEN due_amt IS NOT NULL AND overdue_amt IS NOT NULL AND balance IS NOT NULL THEN 1 END) AS kept,
        count(CASE WHEN due_amt IS NULL OR overdue_amt IS NULL OR balance IS NULL THEN 1 END) AS dropped

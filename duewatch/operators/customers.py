@@ -25,20 +25,29 @@ def attributes_typed(raw: DataFrame, repair_age: bool = False) -> DataFrame:
     )
 
 
-def ages_imputed(customers: DataFrame) -> DataFrame:
-    """An implausible or unknown age becomes the mean plausible age of the occupation in that snapshot."""
+def age_sums(customers: DataFrame) -> DataFrame:
+    """Sum and number of the plausible ages per snapshot and occupation."""
+    plausible = customers.where(F.col("Age").between(YOUNGEST, OLDEST))
+    return plausible.groupBy("snapshot_date", "Occupation").agg(
+        F.sum("Age").alias("_sum"), F.count(F.lit(1)).alias("_rows")
+    )
+
+
+def ages_imputed(customers: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+    """An implausible or unknown age becomes the mean plausible age of the occupation in that snapshot.
+
+    ``sums`` may hold several rows per snapshot and occupation, such as the sums
+    of raw snapshots carried forward, which spares carrying the rows themselves.
+    """
     group = ["snapshot_date", "Occupation"]
+    parts = age_sums(customers) if sums is None else sums
+    means = parts.groupBy(*group).agg((F.sum("_sum") / F.sum("_rows")).alias("_mean_age"))
     plausible = F.col("Age").between(YOUNGEST, OLDEST)
-    means = customers.where(plausible).groupBy(*group).agg(F.avg("Age").alias("_mean_age"))
     age = F.round(F.when(plausible, F.col("Age")).otherwise(F.col("_mean_age"))).cast("int")
     joined = with_summary(customers, means, group, "age-means").withColumn("Age", age)
     return joined.select(*customers.columns)
 
 
-def clean_attributes(raw: DataFrame, repair_age: bool = False) -> DataFrame:
-    return ages_imputed(attributes_typed(raw, repair_age))
-
-
 def clean_clicks(raw: DataFrame, truncate: bool = True) -> DataFrame:
     """A missing count becomes the mean of its column in that snapshot, cut to a whole number."""
     clicks = typed(raw, CLICK_TYPES)

@@ -46,6 +46,26 @@ def joined_sources(attributes: DataFrame, financials: DataFrame, clicks: DataFra
     return attributes.join(financials, KEYS).join(clicks, KEYS)
 
 
+def joined_as_known(attributes: DataFrame, financials: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Click rows with the attribute and financial rows known by their month.
+
+    The same rows as carrying both tables forward month by month and joining on
+    customer and month, but neither table is multiplied: each shuffles once, on
+    the customer, and the dates are compared inside the join.
+    """
+    known = attributes.withColumnRenamed("snapshot_date", "_attributes_from").join(
+        financials.withColumnRenamed("snapshot_date", "_financials_from"), "Customer_ID"
+    )
+    since = F.greatest("_attributes_from", "_financials_from")
+    both = known.where(F.col("_attributes_from").isNotNull() & F.col("_financials_from").isNotNull())
+    return (
+        both.withColumn("_since", since)
+        .join(clicks, "Customer_ID")
+        .where(F.col("_since") <= F.col("snapshot_date"))
+        .drop("_attributes_from", "_financials_from", "_since")
+    )
+
+
 def ratio_features() -> Expressions:
     pairs = {
         "Debt_to_Income_Ratio": ("Outstanding_Debt", "Annual_Income"),
@@ -144,9 +164,9 @@ def with_features(joined: DataFrame) -> DataFrame:
     return joined.withColumns(first).withColumns(second).withColumns(click_variance())
 
 
-def feature_store(attributes: DataFrame, financials: DataFrame, clicks: DataFrame) -> DataFrame:
-    """The gold table. Gaps are filled last, so flags and bins see the gaps."""
-    return with_numbers_filled(with_features(joined_sources(attributes, financials, clicks)))
+def feature_store(joined: DataFrame) -> DataFrame:
+    """The gold table from the joined sources. Gaps are filled last, so flags and bins see the gaps."""
+    return with_numbers_filled(with_features(joined))
 
 
 def model_table(store: DataFrame, features: list[str]) -> DataFrame:

@@ -29,9 +29,10 @@ def restamped(df: DataFrame, first, last, date_col: str = "snapshot_date") -> Da
     Each row lists the months it belongs to, so there is no join and no shuffle.
     A customer with several rows keeps all of them in every later month.
     """
+    known = df.where(F.col(date_col) <= as_date(last))
     start = F.greatest(next_month_start(F.col(date_col)), as_date(first))
     others = [name for name in df.columns if name != date_col]
-    return df.select(*others, F.explode(months_until(start, as_date(last))).alias(date_col)).select(*df.columns)
+    return known.select(*others, F.explode(months_until(start, as_date(last))).alias(date_col)).select(*df.columns)
 
 
 def latest_known(df: DataFrame, key: str, first, last, date_col: str = "snapshot_date") -> DataFrame:

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duewatch.functions.parsing import calendar_date, dash_separated, flexible_date
-from duewatch.operators.customers import ages_imputed, attributes_typed, clean_clicks
-from duewatch.operators.features import FULL_FEATURES, LINEAR_FEATURES, feature_store, model_table
+from duewatch.operators.customers import age_sums, ages_imputed, attributes_typed, clean_clicks
+from duewatch.operators.features import (
+    FULL_FEATURES,
+    LINEAR_FEATURES,
+    feature_store,
+    joined_as_known,
+    joined_sources,
+    model_table,
+)
 from duewatch.operators.financials import clean_financials
 from duewatch.operators.loans import default_labels, loan_status
 from duewatch.operators.months import restamped
@@ -48,8 +55,9 @@ def month_rows(df: DataFrame, first, last) -> DataFrame:
 
 
 def silver_attributes(raw: DataFrame, first, last) -> DataFrame:
-    """Text is cleaned once per raw row; the ages need the customers known in each month."""
-    return ages_imputed(restamped(attributes_typed(raw), first, last))
+    """Text is cleaned once per raw row and then carried forward; so are the age sums behind the means."""
+    typed = attributes_typed(raw)
+    return ages_imputed(restamped(typed, first, last), restamped(age_sums(typed), first, last))
 
 
 def silver_financials(raw: DataFrame, first, last) -> DataFrame:
@@ -58,12 +66,18 @@ def silver_financials(raw: DataFrame, first, last) -> DataFrame:
     return carried.withColumn("snapshot_date_str", F.date_format("snapshot_date", "yyyy-MM-dd"))
 
 
+def known_customers(raw: RawTables, first, last) -> DataFrame:
+    """Customer-months of the click table with everything known by then, ages filled."""
+    attributes = attributes_typed(raw.attributes)
+    financials = clean_financials(raw.financials).drop("snapshot_date_str")
+    clicks = clean_clicks(month_rows(raw.clicks, first, last))
+    joined = joined_as_known(attributes, financials, clicks)
+    return ages_imputed(joined, restamped(age_sums(attributes), first, last))
+
+
 def gold_features(raw: RawTables, first, last) -> DataFrame:
-    return feature_store(
-        silver_attributes(raw.attributes, first, last),
-        silver_financials(raw.financials, first, last),
-        clean_clicks(month_rows(raw.clicks, first, last)),
-    )
+    """Raw tables to the gold table without the silver tables in between."""
+    return feature_store(known_customers(raw, first, last))
 
 
 def bronze_tables(raw: RawTables, first, last) -> dict[str, DataFrame]:
@@ -96,7 +110,7 @@ def backfill(raw: RawTables, root: str, first, last, dpd: int = DPD, mob: int =
         return read_snapshots(spark, f"{root}/silver/{name}", first, last)
 
     write_snapshots(default_labels(silver("loan_daily"), dpd, mob), f"{root}/gold/label_store")
-    store = feature_store(silver("attributes"), silver("financials"), silver("clickstream"))
+    store = feature_store(joined_sources(silver("attributes"), silver("financials"), silver("clickstream")))
     write_snapshots(store, f"{root}/gold/feature_store")
     written = read_snapshots(spark, f"{root}/gold/feature_store", first, last)
     for name, features in MODEL_TABLES.items():
