@@ -12,17 +12,18 @@ from pyspark.sql import types as T
 
 
 def kolmogorov_tail(statistic: Column, n_left: Column, n_right: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sample p-value with Stephens' small-sample correction."""
+    """Asymptotic two-sample p-value with Stephens' small-sample correction, null for an empty sample."""
     left, right = n_left.cast("double"), n_right.cast("double")
-    size = F.sqrt(left * right / (left + right))
-    scaled = (size + F.lit(0.12) + F.lit(0.11) / size) * statistic
+    size = F.sqrt(F.try_divide(left * right, left + right))
+    scaled = (size + F.lit(0.12) + F.try_divide(F.lit(0.11), size)) * statistic
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
         F.lit(0.0),
         lambda acc, j: acc + F.when(j % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(-2.0 * j * j * scaled * scaled),
     )
     # Below 0.2 the series needs ever more terms while the probability is 1 to 12 digits.
-    return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
+    bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), series))
+    return F.when(scaled < 0.2, F.lit(1.0)).when(scaled.isNotNull(), bounded)
 
 
 def _chi_square_tail(statistic: float, freedom: int) -> float:
