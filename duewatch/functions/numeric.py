@@ -34,11 +34,6 @@ def row_variance(columns: list[Column], mean: Column) -> Column:
     return total(squares) / F.lit(float(len(columns)))
 
 
-def known_number(value: Column) -> Column:
-    """Null and NaN as 0."""
-    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
-
-
 def month_start(value: Column) -> Column:
     return F.trunc(value, "month")
 

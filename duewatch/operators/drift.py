@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 from duewatch.functions.numeric import ratio
 from duewatch.functions.pvalues import chi_square_tail, kolmogorov_tail
-from duewatch.operators.ranking import SLICE, exact_quantiles, in_slices, inside_slice, slices_before
+from duewatch.operators.ranking import (
+    SLICE,
+    in_slices,
+    inside_slice,
+    sliced_quantiles,
+    slices_before,
+    staged_counts,
+)
+from duewatch.session import staged
 
 # Fixed values.
 SIGNIFICANCE = 0.05
@@ -34,18 +42,31 @@ def side_counts(side: str) -> list:
     return [F.count_if(F.col(side)).alias("_ref"), F.count_if(~F.col(side)).alias("_cur")]
 
 
-def side_totals(values: DataFrame, side: str) -> DataFrame:
-    """One row per feature, so never more rows than the data has columns."""
-    return values.groupBy("feature").agg(
-        F.count_if(F.col(side)).cast("double").alias("_n_ref"), F.count_if(~F.col(side)).cast("double").alias("_n_cur")
-    )
+def side_totals(both: DataFrame, side: str, features: list[str], kind: str) -> DataFrame:
+    """Known values per feature and side: one row per feature, from one pass without a shuffle of rows."""
+    counts, records = [], []
+    for place, name in enumerate(features):
+        value = F.col(f"`{name}`").cast(kind)
+        known = value.isNotNull() & ~F.isnan(value) if kind == "double" else value.isNotNull()
+        counts += [
+            F.count_if(F.col(side) & known).cast("double").alias(f"ref_{place}"),
+            F.count_if(~F.col(side) & known).cast("double").alias(f"cur_{place}"),
+        ]
+        records.append(
+            F.struct(
+                F.lit(name).alias("feature"), F.col(f"ref_{place}").alias("_n_ref"), F.col(f"cur_{place}").alias("_n_cur")
+            )
+        )
+    return both.agg(*counts).select(F.inline(F.array(*records)))
 
 
 def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
     """Largest distance between the two distribution functions of every numeric feature."""
     values = long_values(both, side, features, "double")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
-    sliced = in_slices(counts, ["feature"], "value").join(F.broadcast(side_totals(values, side)), "feature")
+    # One row per feature, so never larger than the column count.
+    totals = F.broadcast(side_totals(both, side, features, "double"))
+    sliced = in_slices(counts, ["feature"], "value").join(totals, "feature")
     frame = inside_slice(["feature"], "value")
     gap = ratio(F.sum("_ref").over(frame), F.col("_n_ref")) - ratio(F.sum("_cur").over(frame), F.col("_n_cur"))
     slices = (
@@ -83,7 +104,7 @@ def chi2_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
     """Chi-squared test of the category counts of every feature, with Yates' correction for two categories."""
     values = long_values(both, side, features, "string")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
-    totals = side_totals(values, side)
+    totals = side_totals(both, side, features, "string")
     sizes = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("_categories"))
     margins = totals.join(sizes, "feature")
     rows = counts.join(F.broadcast(margins), "feature")
@@ -138,35 +159,47 @@ def _auto_bins(rows, low, high, quartile_range):
     return F.when(spread > 0, F.ceil(spread / width)).otherwise(F.lit(1)).cast("long")
 
 
-def _bin_plan(values: DataFrame, keys: list[str]) -> DataFrame:
-    bounds = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("double").alias("_rows"), F.min("value").alias("_low"), F.max("value").alias("_high")
-    )
-    quartiles = exact_quantiles(values, keys, "value", [0.25, 0.75]).groupBy(*keys).agg(
-        (F.max("quantile") - F.min("quantile")).alias("_iqr")
-    )
-    bins = _auto_bins(F.col("_rows"), F.col("_low"), F.col("_high"), F.col("_iqr"))
-    return bounds.join(quartiles, keys).withColumn("_auto", bins)
-
-
 def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFrame:
     """Density per feature, side and bin; each side has its own range and bin count.
 
     The bin count is automatic unless the two sides together would need more
-    than ``MAX_EDGES`` edges.
+    than ``MAX_EDGES`` edges. The rows are read once: ranges, quartiles and bins
+    all come from the written counts of distinct values.
     """
     values = long_values(both, side, features, "double")
-    together = _bin_plan(values, ["feature"]).select("feature", (F.col("_auto") + 1).alias("_edges"))
-    plan = _bin_plan(values, ["feature", side]).join(together, "feature")
+    counts = values.groupBy("feature", "value").agg(*side_counts(side))
+    sliced = staged_counts(counts, ["feature"], "value")
+    weights = F.array(
+        F.struct(F.lit("reference").alias("_part"), F.col("_ref").alias("_rows")),
+        F.struct(F.lit("current").alias("_part"), F.col("_cur").alias("_rows")),
+        F.struct(F.lit("together").alias("_part"), (F.col("_ref") + F.col("_cur")).alias("_rows")),
+    )
+    parts = sliced.select("feature", SLICE, "value", F.inline(weights)).where(F.col("_rows") > 0)
+
+    keys = ["feature", "_part"]
+    bounds = parts.groupBy(*keys).agg(
+        F.sum("_rows").cast("double").alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high")
+    )
+    quartiles = sliced_quantiles(parts, keys, "value", "_rows", [0.25, 0.75]).groupBy(*keys).agg(
+        (F.max("quantile") - F.min("quantile")).alias("_iqr")
+    )
+    bins = _auto_bins(F.col("_n"), F.col("_low"), F.col("_high"), F.col("_iqr"))
+    # Three rows per feature; written because three branches below read it.
+    plan = staged(bounds.join(quartiles, keys).withColumn("_auto", bins), "bin-plan")
+    together = plan.where(F.col("_part") == "together").select("feature", (F.col("_auto") + 1).alias("_edges"))
     flat = F.col("_low") == F.col("_high")
-    plan = plan.select(
-        "feature",
-        side,
-        "_rows",
-        F.when(F.col("_edges") <= MAX_EDGES, F.col("_auto")).otherwise(F.lit(FALLBACK_BINS)).alias("bins"),
-        F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
-        F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
-    ).withColumn("_width", (F.col("_high") - F.col("_low")) / F.col("bins"))
+    sides = (
+        plan.where(F.col("_part") != "together")
+        .join(together, "feature")
+        .select(
+            *keys,
+            "_n",
+            F.when(F.col("_edges") <= MAX_EDGES, F.col("_auto")).otherwise(F.lit(FALLBACK_BINS)).alias("bins"),
+            F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
+            F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
+        )
+        .withColumn("_width", (F.col("_high") - F.col("_low")) / F.col("bins"))
+    )
 
     def edge(number):
         return F.col("_low") + number * F.col("_width")
@@ -177,20 +210,19 @@ def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFr
     )
     too_high = (F.col("value") < edge(F.col("_bin"))).cast("long")
     too_low = ((F.col("value") >= edge(F.col("_bin") + 1)) & (F.col("_bin") < F.col("bins") - 1)).cast("long")
-    # The plan has two rows per feature, so it is never larger than twice the column count.
     counted = (
-        values.join(F.broadcast(plan), ["feature", side])
+        parts.where(F.col("_part") != "together")
+        .join(F.broadcast(sides), keys)
         .withColumn("_bin", rough)
         .withColumn("bin", F.col("_bin") - too_high + too_low)
-        .groupBy("feature", side, "bin")
-        .agg(F.count(F.lit(1)).alias("_count"))
+        .groupBy(*keys, "bin")
+        .agg(F.sum("_rows").alias("_count"))
     )
-    all_bins = plan.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)))
-    found = all_bins.join(counted, ["feature", side, "bin"], "left")
-    density = F.coalesce(F.col("_count"), F.lit(0)) / (F.col("_rows") * F.col("_width"))
-    return found.select(
+    all_bins = sides.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)))
+    density = F.coalesce(F.col("_count"), F.lit(0)) / (F.col("_n") * F.col("_width"))
+    return all_bins.join(counted, [*keys, "bin"], "left").select(
         "feature",
-        side,
+        (F.col("_part") == "reference").alias(side),
         "bin",
         edge(F.col("bin")).alias("bin_start"),
         edge(F.col("bin") + 1).alias("bin_end"),

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from duewatch.functions import parsing
-from duewatch.functions.numeric import flag, known_number, ratio
+from duewatch.functions.numeric import flag, ratio
 from duewatch.sources.schemas import LOAN_TYPES
 
 READERS = {
@@ -35,15 +34,7 @@ def with_installments_missed(loans: DataFrame) -> DataFrame:
 
 def with_numbers_filled(df: DataFrame) -> DataFrame:
     """Null and NaN as 0 in every numeric column."""
-    columns = []
-    for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
-            value = known_number(value)
-        elif isinstance(field.dataType, T.NumericType):
-            value = F.coalesce(value, F.lit(0).cast(field.dataType))
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return df.na.fill(0)
 
 
 def with_first_missed_date(loans: DataFrame) -> DataFrame:

@@ -56,33 +56,46 @@ def roc_auc(scored: DataFrame, keys: list[str], label: str = "label", score: str
     )
 
 
-def exact_quantiles(values: DataFrame, keys: list[str], value: str, probabilities: list[float]) -> DataFrame:
-    """Per group one row per probability, interpolated between the two neighbouring values."""
-    counts = (
-        values.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_all"))
-    )
-    # Staged: the slice numbers are read twice below and must be the same both times.
-    sliced = staged(in_slices(counts, keys, "_value"), "value-slices")
-    totals = sliced.groupBy(*keys, SLICE).agg(F.sum("_all").alias("_all"))
+def staged_counts(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Counted values in slices, written once so that every later reading sees the same slices."""
+    return staged(in_slices(counts, keys, value), "value-slices")
+
+
+def sliced_quantiles(
+    sliced: DataFrame, keys: list[str], value: str, rows: str, probabilities: list[float]
+) -> DataFrame:
+    """Quantiles of counted values: ``rows`` holds how often each value occurs.
+
+    The slice totals tell which slice holds a wanted rank; only those slices are
+    sorted. One result row per group and probability, interpolated between the
+    two neighbouring values.
+    """
+    totals = sliced.groupBy(*keys, SLICE).agg(F.sum(rows).alias("_size"))
     whole = Window.partitionBy(*keys)
     positions = F.array(*[F.lit(float(p)) for p in probabilities])
     wanted = (
-        totals.withColumn("_before", F.coalesce(F.sum("_all").over(slices_before(keys)), F.lit(0)))
-        .withColumn("_rows", F.sum("_all").over(whole))
+        totals.withColumn("_before", F.coalesce(F.sum("_size").over(slices_before(keys)), F.lit(0)))
+        .withColumn("_rows", F.sum("_size").over(whole))
         .withColumn("probability", F.explode(positions))
         .withColumn("_position", F.col("probability") * (F.col("_rows") - 1))
         .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_position"), F.ceil("_position")))))
-        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_all")))
+        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
         .select(*keys, SLICE, "_before", "probability", "_position", "_rank")
     )
     # One row per group and rank, at most two ranks per probability.
-    hits = sliced.join(F.broadcast(wanted), [*keys, SLICE])
-    running = Window.partitionBy(*keys, SLICE, "probability", "_rank").orderBy("_value")
-    upto = F.col("_before") + F.sum("_all").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hits = sliced.select(*keys, SLICE, value, rows).join(F.broadcast(wanted), [*keys, SLICE])
+    running = Window.partitionBy(*keys, SLICE, "probability", "_rank").orderBy(value)
+    upto = F.col("_before") + F.sum(rows).over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     picked = hits.withColumn("_upto", upto).where(
-        (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_all"))
+        (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col(rows))
     )
-    low, high = F.min("_value"), F.max("_value")
+    low, high = F.min(value), F.max(value)
     share = F.max(F.col("_position") - F.floor("_position"))
     return picked.groupBy(*keys, "probability").agg((low + (high - low) * share).alias("quantile"))
+
+
+def exact_quantiles(values: DataFrame, keys: list[str], value: str, probabilities: list[float]) -> DataFrame:
+    """Quantiles of a column per group."""
+    known = values.where(F.col(value).isNotNull())
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_all"))
+    return sliced_quantiles(staged_counts(counts, keys, value), keys, value, "_all", probabilities)
