@@ -9,7 +9,7 @@ from duewatch.catalog import views
 from duewatch.catalog.inputs import Inputs, rounded
 from duewatch.catalog.registry import query
 from duewatch.functions import parsing
-from duewatch.operators.customers import ages_imputed, attributes_typed
+from duewatch.operators.customers import age_means, age_sums, ages_imputed, attributes_typed, click_means
 from duewatch.operators.financials import (
     KNOWN_LOANS,
     NUMERIC_RULES,
@@ -25,6 +25,7 @@ from duewatch.operators.loans import (
     with_months_on_book,
     with_numbers_filled,
 )
+from duewatch.operators.lookups import with_summary
 from duewatch.sources.schemas import CLICK_FEATURES, LOAN_TYPES
 
 
@@ -84,6 +85,27 @@ def attr_age_impute(inputs: Inputs) -> DataFrame:
     )
 
 
+@query("SELECT snapshot_date, Occupation, round(avg(Age), 6) AS mean_age FROM typed_attributes WHERE Age BETWEEN 0 AND 100 GROUP BY 1, 2")
+def agg_group_mean_filtered(inputs: Inputs) -> DataFrame:
+    means = age_means(age_sums(attributes_typed(inputs.raw("raw_attributes"))))
+    return rounded(means.withColumnRenamed("_mean_age", "mean_age"))
+
+
+@query("SELECT Customer_ID, Occupation, Age, mean_age FROM typed_attributes t LEFT JOIN means m USING (snapshot_date, Occupation)",
+       means="SELECT snapshot_date, Occupation, round(avg(Age), 6) AS mean_age FROM typed_attributes WHERE Age BETWEEN 0 AND 100 GROUP BY 1, 2")
+def join_left_groupstat(inputs: Inputs) -> DataFrame:
+    """Every customer with the mean age of the group."""
+    customers = attributes_typed(inputs.raw("raw_attributes"))
+    means = age_means(age_sums(customers)).withColumnRenamed("_mean_age", "mean_age")
+    joined = with_summary(customers, means, ["snapshot_date", "Occupation"], "age-means")
+    return rounded(joined.select("Customer_ID", "Occupation", "Age", "mean_age"))
+
+
+@query(f"SELECT snapshot_date, {', '.join(f'round(avg({name}), 6) AS _mean_{name}' for name in CLICK_FEATURES)} FROM raw_clicks GROUP BY snapshot_date")
+def agg_multi_col_mean(inputs: Inputs) -> DataFrame:
+    return rounded(click_means(inputs.raw("raw_clicks")))
+
+
 @query(f"SELECT Customer_ID, snapshot_date, {', '.join(CLICK_FEATURES)} FROM silver_clicks")
 def click_mean_impute(inputs: Inputs) -> DataFrame:
     return inputs.silver_clicks()

@@ -9,9 +9,10 @@ from duewatch.catalog.inputs import Inputs, rounded
 from duewatch.catalog.registry import query
 from duewatch.functions.parsing import parsed_age
 from duewatch.operators import labelled, profile
-from duewatch.operators.loans import bad_rate_by_month_on_book
+from duewatch.operators.loans import bad_rate_by_month_on_book, bads_at_installment
 from duewatch.operators.monitor import OOT, TEST, TRAIN
 from duewatch.operators.ranking import roc_auc
+from duewatch.plans.tables import MOB
 from duewatch.session import staged
 from duewatch.sources.schemas import CLICK_FEATURES
 
@@ -208,3 +209,31 @@ def prof_histogram_by_group(inputs: Inputs) -> DataFrame:
 def prof_outliers(inputs: Inputs) -> DataFrame:
     ages = inputs.raw("raw_attributes").select("Customer_ID", parsed_age(F.col("Age")).alias("Age"))
     return profile.outside(ages, "Age", 0, 100)
+
+
+@query("SELECT snapshot_date, count(*) AS loans, CAST(sum(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS BIGINT) AS bads "
+       "FROM silver_loans WHERE loan_start_date < DATE '2000-01-01' AND installment_num = 7 GROUP BY snapshot_date")
+def agg_bads_at_installment(inputs: Inputs) -> DataFrame:
+    """The given loans have seven installments, so the last one is taken."""
+    return bads_at_installment(inputs.loans(), "2000-01-01", installment=7)
+
+
+@query("SELECT loan_id, Customer_ID, mob, dpd, snapshot_date FROM silver_loans WHERE mob = 6")
+def flt_mob(inputs: Inputs) -> DataFrame:
+    return inputs.loans().where(F.col("mob") == MOB).select("loan_id", "Customer_ID", "mob", "dpd", "snapshot_date")
+
+
+@query("""SELECT snapshot_date, count(*) AS unmatched FROM gold_labels g
+WHERE NOT EXISTS (SELECT 1 FROM scored_orders o WHERE o.Customer_ID = g.Customer_ID AND o.snapshot_date = g.snapshot_date) GROUP BY 1""")
+def agg_unmatched_labels(inputs: Inputs) -> DataFrame:
+    return labelled.unmatched_labels(inputs.raw("scored_orders"), inputs.labels())
+
+
+@query("SELECT Customer_ID, strftime(max(snapshot_date), '%Y-%m-%d') AS label_snapshot_month FROM gold_labels GROUP BY Customer_ID")
+def win_keep_last(inputs: Inputs) -> DataFrame:
+    return labelled.newest_label_month(inputs.labels())
+
+
+@query("SELECT DISTINCT Customer_ID, snapshot_date FROM gold_labels")
+def set_distinct(inputs: Inputs) -> DataFrame:
+    return labelled.customer_months(inputs.labels())

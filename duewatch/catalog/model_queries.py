@@ -161,3 +161,10 @@ FROM shares WHERE rank <= (SELECT rank FROM shares ORDER BY cumulative - rank /
        totals=TOTALS_SQL, shares=SHARES_SQL)
 def ml_feature_knee(inputs: Inputs) -> DataFrame:
     return listed(attribution.feature_knee(dimension_totals(inputs)))
+
+
+@query("SELECT feature, round(total, 6) AS total, rank, round(cumulative, 6) AS cumulative FROM shares", totals=TOTALS_SQL, shares=SHARES_SQL)
+def win_cum_share(inputs: Inputs) -> DataFrame:
+    """Features by falling total with their cumulative share."""
+    shares = attribution.ranked_shares(dimension_totals(inputs)).drop("features")
+    return rounded(shares)

@@ -33,6 +33,10 @@ def age_sums(customers: DataFrame) -> DataFrame:
     )
 
 
+def age_means(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("snapshot_date", "Occupation").agg((F.sum("_sum") / F.sum("_rows")).alias("_mean_age"))
+
+
 def ages_imputed(customers: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """An implausible or unknown age becomes the mean plausible age of the occupation in that snapshot.
 
@@ -40,8 +44,7 @@ def ages_imputed(customers: DataFrame, sums: DataFrame | None = None) -> DataFra
     of raw snapshots carried forward, which spares carrying the rows themselves.
     """
     group = ["snapshot_date", "Occupation"]
-    parts = age_sums(customers) if sums is None else sums
-    means = parts.groupBy(*group).agg((F.sum("_sum") / F.sum("_rows")).alias("_mean_age"))
+    means = age_means(age_sums(customers) if sums is None else sums)
     plausible = F.col("Age").between(YOUNGEST, OLDEST)
     age = F.round(F.when(plausible, F.col("Age")).otherwise(F.col("_mean_age"))).cast("int")
     joined = with_summary(customers, means, group, "age-means").withColumn("Age", age)
@@ -52,11 +55,15 @@ def clean_attributes(raw: DataFrame, repair_age: bool = False) -> DataFrame:
     return ages_imputed(attributes_typed(raw, repair_age))
 
 
+def click_means(clicks: DataFrame) -> DataFrame:
+    """Mean of every click column per snapshot, in one pass."""
+    return clicks.groupBy("snapshot_date").agg(*[F.avg(name).alias(f"_mean_{name}") for name in CLICK_FEATURES])
+
+
 def clean_clicks(raw: DataFrame, truncate: bool = True) -> DataFrame:
     """A missing count becomes the mean of its column in that snapshot, cut to a whole number."""
     clicks = typed(raw, CLICK_TYPES)
-    means = clicks.groupBy("snapshot_date").agg(*[F.avg(name).alias(f"_mean_{name}") for name in CLICK_FEATURES])
-    joined = with_summary(clicks, means, ["snapshot_date"], "click-means")
+    joined = with_summary(clicks, click_means(clicks), ["snapshot_date"], "click-means")
     kind = "int" if truncate else "double"
     filled = [
         F.coalesce(F.col(name).cast(kind), F.col(f"_mean_{name}").cast(kind)).alias(name) for name in CLICK_FEATURES

@@ -82,9 +82,14 @@ def customers_in_both(labels: DataFrame, first, second) -> DataFrame:
     ).where("_first and _second").select("Customer_ID")
 
 
+def customer_months(labels: DataFrame) -> DataFrame:
+    """Each customer once per label month."""
+    return labels.select("Customer_ID", "snapshot_date").distinct()
+
+
 def consecutive_overlap(labels: DataFrame, step_months: int = 1) -> DataFrame:
     """For every month the number of its customers that also have a label ``step_months`` later."""
-    present = labels.select("Customer_ID", "snapshot_date").distinct()
+    present = customer_months(labels)
     later = present.select("Customer_ID", F.add_months("snapshot_date", -step_months).alias("snapshot_date"))
     both = present.join(later, ["Customer_ID", "snapshot_date"], "left_semi")
     return both.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("customers"))

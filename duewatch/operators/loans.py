@@ -18,8 +18,17 @@ READERS = {
 
 
 def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Columns with the given types in one select; a value that does not fit becomes null."""
-    return df.select(*[READERS[kind](F.col(name)).alias(name) for name, kind in types.items()])
+    """Columns with the given types in one select; a value that does not fit becomes null.
+
+    A column that has its type already passes as it is, so filters on it reach the scan.
+    """
+    present = dict(df.dtypes)
+    return df.select(
+        *[
+            F.col(name) if present[name] == kind else READERS[kind](F.col(name)).alias(name)
+            for name, kind in types.items()
+        ]
+    )
 
 
 def with_months_on_book(loans: DataFrame) -> DataFrame:
@@ -75,3 +84,12 @@ def bad_rate_by_month_on_book(loans: DataFrame, started_before, dpd: int = 30) -
         .agg(F.count(F.lit(1)).alias("loans"), F.sum(late).alias("bads"), F.avg(late).alias("bad_rate"))
         .orderBy("mob")
     )
+
+
+def bads_at_installment(loans: DataFrame, started_before, installment: int = 10, dpd: int = 30) -> DataFrame:
+    """Loans and past-due loans at one installment, by month, for loans started before a date."""
+    reached = loans.where(
+        (F.col("loan_start_date") < F.lit(started_before).cast("date")) & (F.col("installment_num") == installment)
+    )
+    late = flag(F.col("dpd") >= dpd)
+    return reached.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("loans"), F.sum(late).alias("bads"))
