@@ -83,7 +83,7 @@ def stratified_folds(df: DataFrame, folds: int, label: str = "label", seed: int
     earlier = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(label, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     # At most 2**bucket_bits rows per label.
-    placed = rows.join(F.broadcast(offsets), [label, "_bucket"])
+    placed = rows.join(staged(offsets, "fold-offsets"), [label, "_bucket"])
     inside = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_draw", "_row"))
     number = F.col("_offset") + inside - 1
     return placed.withColumn("fold", (number % folds).cast("int")).select(*df.columns, "fold")

@@ -82,8 +82,10 @@ def sliced_quantiles(
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
         .select(*keys, SLICE, "_before", "probability", "_position", "_rank")
     )
-    # One row per group and rank, at most two ranks per probability.
-    hits = sliced.select(*keys, SLICE, value, rows).join(F.broadcast(wanted), [*keys, SLICE])
+    # One row per group and rank, at most two ranks per probability. Written, so that Spark
+    # knows its size and broadcasts it only when it is small.
+    targets = staged(wanted, "wanted-ranks")
+    hits = sliced.select(*keys, SLICE, value, rows).join(targets, [*keys, SLICE])
     running = Window.partitionBy(*keys, SLICE, "probability", "_rank").orderBy(value)
     upto = F.col("_before") + F.sum(rows).over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     picked = hits.withColumn("_upto", upto).where(

@@ -47,12 +47,14 @@ def monitoring_report(
     }
 
 
-def monitor_and_write(spark: SparkSession, root: str, first, last, run_id: str | None = None) -> None:
-    """Report over the evaluated months, below ``reports/<run>``."""
+def monitor_and_write(spark: SparkSession, root: str, first, last, run_id: str | None = None) -> bool:
+    """Report over the evaluated months, below ``reports/<run>``; true when an alert has to be sent."""
     _, features, record = load_run(spark, root, run_id)
     reference = spark.read.parquet(record["reference_data_path"])
     reference = reference.withColumn("feature_snapshot_date", F.col("feature_snapshot_date").cast("date"))
     current = read_snapshots(spark, f"{root}/scored_with_labels", first, last)
     current = current.withColumnRenamed("snapshot_date", "feature_snapshot_date")
+    folder = f"{root}/reports/{record['run_id']}"
     for name, table in monitoring_report(reference, current, features).items():
-        table.write.mode("overwrite").parquet(f"{root}/reports/{record['run_id']}/{name}")
+        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/alert_level").first()["alert_raised"]

@@ -63,10 +63,15 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from duewatch.catalog import CHECKS, QUERIES
     from duewatch.session import build_session
+    from pyspark.sql import SparkSession
 
     folder = sys.argv[1]
     wanted = sys.argv[2:] or list(QUERIES)
-    session = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    if os.environ.get("PLAIN"):  # a session with none of our settings
+        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    session = SparkSession.getActiveSession()
     session.sparkContext.setLogLevel("ERROR")
     con = connection(folder)
     failed = 0

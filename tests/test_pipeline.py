@@ -78,9 +78,23 @@ def test_train_score_evaluate_monitor(spark, root):
     matched = read_snapshots(spark, f"{root}/scored_with_labels")
     assert evaluations.agg(F.sum("records")).first()[0] == matched.count() > 0
 
-    monitor_and_write(spark, root, "2001-01-01", LAST)
+    raised = monitor_and_write(spark, root, "2001-01-01", LAST)
     report = f"{root}/reports/run_a"
     drift = spark.read.parquet(f"{report}/drift")
     assert drift.count() == len(features)
     assert spark.read.parquet(f"{report}/status").count() == 1
-    assert spark.read.parquet(f"{report}/alert_level").count() == 1
+    level = spark.read.parquet(f"{report}/alert_level").collect()
+    assert len(level) == 1 and level[0].alert_raised == raised
+    assert raised == (level[0].highest_level != "OK" or drift.where("drift_detected").count() > 0)
+
+
+def test_command_line(spark, root):
+    from duewatch.__main__ import earlier_month, main
+
+    assert earlier_month("2023-03-01", 6) == "2022-09-01"
+    folder = f"{root}/from_command_line"
+    assert main(["--root", folder, "backfill", "--raw", f"{root}/data", "--first", "1998-03-01", "--last", "1998-03-01"]) == 0
+    months = read_snapshots(spark, f"{folder}/gold/feature_store_linear").select("snapshot_date").distinct()
+    assert months.count() == 7
+    same = read_snapshots(spark, f"{root}/gold/label_store", "1998-03-01", "1998-03-01")
+    assert read_snapshots(spark, f"{folder}/gold/label_store", "1998-03-01", "1998-03-01").exceptAll(same).isEmpty()
