@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: the largest sample with an exact KS p-value.
+EXACT_LIMIT = 10_000
+
+
 def kolmogorov_tail(statistic: Column, n_left: Column, n_right: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample p-value with Stephens' small-sample correction, null for an empty sample."""
     left, right = n_left.cast("double"), n_right.cast("double")
@@ -26,6 +30,54 @@ def kolmogorov_tail(statistic: Column, n_left: Column, n_right: Column, terms: i
     return F.when(scaled < 0.2, F.lit(1.0)).when(scaled.isNotNull(), bounded)
 
 
+def _exact_ks_tail(statistic: float, n_left: int, n_right: int) -> float:
+    """Chance of a distance of at least ``statistic`` when all orders of the pooled sample are equally likely.
+
+    ``inside`` holds, by the number of values drawn from the smaller sample, the
+    chance that the distance has stayed below ``statistic`` so far, given that
+    number; each round draws one more value of the pooled sample. Only counts
+    within reach of that distance are worked on.
+    """
+    few, many = sorted((n_left, n_right))
+    exponent = 2.0 * statistic * statistic * few * many / (few + many)
+    if exponent > 36.0:  # below the precision of one minus a chance
+        return 2.0 * math.exp(-exponent)
+    limit = (math.floor(statistic * few * many - 1e-7) + 0.5) / (few * many)
+    if limit < 0:
+        return 1.0
+    reach = 1.0 / few + 1.0 / many
+    inside = np.zeros(few + 2)  # the first place stands for one value less than none
+    inside[1] = 1.0
+    for drawn in range(1, few + many + 1):
+        low = max(0, drawn - many, math.ceil((drawn / many - limit) / reach))
+        high = min(few, drawn, math.floor((drawn / many + limit) / reach))
+        counts = np.arange(low, high + 1)
+        stay, step = inside[low + 1 : high + 2], inside[low : high + 1]
+        reached = (stay * (drawn - counts) + step * counts) / drawn
+        inside[low : low + 1] = 0.0
+        inside[low + 1 : high + 2] = reached
+        inside[high + 2 : high + 3] = 0.0
+    return max(0.0, 1.0 - float(inside[-1]))
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_ks_tail(statistic: pd.Series, n_left: pd.Series, n_right: pd.Series) -> pd.Series:
+    """Exact p-values of small samples, null for larger ones; one row per feature."""
+    small = (n_left > 0) & (n_right > 0) & (n_left <= EXACT_LIMIT) & (n_right <= EXACT_LIMIT)
+    return pd.Series(
+        [
+            _exact_ks_tail(float(d), int(n), int(m)) if usable else None
+            for d, n, m, usable in zip(statistic, n_left, n_right, small)
+        ],
+        dtype="float64",
+    )
+
+
+def ks_tail(statistic: Column, n_left: Column, n_right: Column) -> Column:
+    """Two-sample p-value: exact up to ``EXACT_LIMIT`` rows a side, asymptotic above."""
+    return F.coalesce(exact_ks_tail(statistic, n_left, n_right), kolmogorov_tail(statistic, n_left, n_right))
+
+
 def _chi_square_tail(statistic: float, freedom: int) -> float:
     """Q(freedom/2, statistic/2) as the closed finite sum for whole degrees of freedom."""
     if freedom <= 0 or statistic <= 0:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duewatch.functions.numeric import ratio
-from duewatch.functions.pvalues import chi_square_tail, kolmogorov_tail
+from duewatch.functions.pvalues import chi_square_tail, ks_tail
 from duewatch.operators.ranking import (
     SLICE,
     in_slices,
@@ -95,7 +95,7 @@ def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
             F.max("_n_ref").cast("long").alias("n_reference"),
             F.max("_n_cur").cast("long").alias("n_current"),
         )
-        .withColumn("p_value", kolmogorov_tail(F.col("statistic"), F.col("n_reference"), F.col("n_current")))
+        .withColumn("p_value", ks_tail(F.col("statistic"), F.col("n_reference"), F.col("n_current")))
         .withColumn("drift_detected", F.coalesce(F.col("p_value") < SIGNIFICANCE, F.lit(False)))
     )
 

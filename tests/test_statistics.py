@@ -1,12 +1,13 @@
 """Order statistics and drift tests against brute force, with the data in many slices."""
 
+import itertools
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from duewatch.functions.pvalues import _chi_square_tail, kolmogorov_tail
+from duewatch.functions.pvalues import _chi_square_tail, _exact_ks_tail, kolmogorov_tail
 from duewatch.operators.drift import chi2_test, density_histogram, drift_report, ks_test
 from duewatch.operators.ranking import exact_quantiles, in_slices, roc_auc
 
@@ -92,6 +93,25 @@ def test_ks_statistic(spark):
         assert (row.n_reference, row.n_current) == (len(left), len(right))
 
 
+@pytest.mark.parametrize("n, m", [(1, 1), (3, 4), (5, 5), (2, 7), (6, 4)])
+def test_exact_ks_p_value_counts_all_orders(n, m):
+    distances = []
+    for left in itertools.combinations(range(n + m), n):
+        right = [place for place in range(n + m) if place not in left]
+        distances.append(brute_ks(np.array(left), np.array(right)))
+    distances = np.array(distances)
+    for distance in np.unique(distances.round(12)):
+        expected = (distances >= distance - 1e-9).mean()
+        assert _exact_ks_tail(float(distance), n, m) == pytest.approx(expected, abs=1e-12)
+        assert _exact_ks_tail(float(distance), m, n) == pytest.approx(expected, abs=1e-12)
+
+
+def test_exact_and_asymptotic_ks_p_values_meet(spark):
+    frame = spark.createDataFrame([(0.03, 4000, 3000)], "d double, n long, m long")
+    asymptotic = frame.select(kolmogorov_tail(F.col("d"), F.col("n"), F.col("m"))).first()[0]
+    assert _exact_ks_tail(0.03, 4000, 3000) == pytest.approx(asymptotic, rel=0.03)
+
+
 def test_ks_of_a_table_with_itself(spark):
     values = np.random.default_rng(5).normal(size=200)
     row = ks_test(sides_frame(spark, values, values), "is_reference", ["x"]).first()
