@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +29,32 @@ def build_session(app_name: str = "duewatch", master: str | None = None, **extra
         builder = builder.master(master)
     for key, value in {**SQL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application, so that Python functions load there.
+
+    Spark serves the archive to every executor; no shared folder is needed.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped_to:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="duewatch-package-"), "duewatch.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped_to.add(application)
 
 
 def shared_folder(spark: SparkSession) -> str:
