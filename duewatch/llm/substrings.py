@@ -170,12 +170,14 @@ def without_repeats(
     text_column: str = "text",
     width: int = WIDTH,
     keep_text: bool = True,
+    carry: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
     range_windows: int = RANGE_WINDOWS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256 and, if asked for, kept_text.
 
-    ``block_bytes`` and ``range_windows`` bound what one task holds; neither changes the result.
+    With ``carry``, these columns come along in a struct column ``row``. ``block_bytes`` and ``range_windows`` bound what
+    one task holds; neither changes the result.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -184,6 +186,7 @@ def without_repeats(
     ranges = max(1, math.ceil(size / 6 / range_windows), min(blocks, 12))
     dealt = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []),
         block_of(id_column, blocks).alias("block"),
     ).repartition(blocks, "block")
     answers = (
@@ -192,10 +195,20 @@ def without_repeats(
         .groupBy("part")
         .applyInArrow(repeated_by_block, "block int, hashes binary")
     )
-    fields = [dealt.schema["id"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+    carried = ["id", "row"] if carry else ["id"]
+    fields = [*[dealt.schema[c] for c in carried], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
               T.StructField("kept_sha256", T.StringType())]
     schema = T.StructType(fields + [T.StructField("kept_text", T.StringType())] * keep_text)
     cut = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        cut_block(width, ["id"], to_arrow_schema(schema)), schema
+        cut_block(width, carried, to_arrow_schema(schema)), schema
     )
     return cut.withColumnRenamed("id", id_column)
+
+
+def passages_cut(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents with their columns, the text being what is left of it."""
+    carry = [c for c in docs.columns if c != text_column]
+    cut = without_repeats(docs, id_column, text_column, carry=carry)
+    return cut.select(
+        *[F.col("kept_text").alias(c) if c == text_column else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    )

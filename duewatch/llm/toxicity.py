@@ -40,7 +40,7 @@ LANDMARKS = 256
 CLEAN_WEIGHT = 3.0
 RIDGE = 1e-5
 INSERTED = "xen"  # letters put into known insults for training
-INSERTED_WEIGHT = 0.3
+INSERTED_WEIGHT = 3.0
 THRESHOLD = 0.3
 LOWEST = -1.5  # raw score of a text without words
 CACHED_WORDS = 300_000
