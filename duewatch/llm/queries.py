@@ -45,6 +45,13 @@ def op2_best_fit_packing(spark, folder):
     return pack_documents(table(spark, folder, "documents"), vocabulary(TOKENIZER), keep_ids=False)
 
 
+@query
+def op3_embedding_near_dedup(spark, folder):
+    from duewatch.llm.vectors import similar_vectors
+
+    return similar_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op4_quality_rules(spark, folder):
     from duewatch.llm.quality_rules import quality_report
@@ -59,6 +66,13 @@ def op5_toxicity(spark, folder):
     return toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_sentencepiece(spark, folder):
+    from duewatch.llm.pieces import encode_documents
+
+    return encode_documents(table(spark, folder, "documents"), vocabulary(PIECES), keep=False)
+
+
 @query
 def op7_minhash_near_dedup(spark, folder):
     from duewatch.llm.minhash import near_duplicates
@@ -73,6 +87,13 @@ def op8_substring_dedup(spark, folder):
     return without_repeats(table(spark, folder, "documents"), keep_text=False)
 
 
+@query
+def op9_html_extraction(spark, folder):
+    from duewatch.llm.pages import main_texts
+
+    return main_texts(table(spark, folder, "pages"))
+
+
 @query
 def pipeline(spark, folder):
     import corpus_pipeline

@@ -101,12 +101,11 @@ def landmark_features(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         for column in range(numbers.shape[1]):
             np.add.at(features, (place[numbers[:, column]], rows), weight)
     features[0] = 0
-    return place, features / norms(lengths)
+    return place, (features / norms(lengths)).astype(np.float32)
 
 
 def kernel(words: list[str], place: np.ndarray, features: np.ndarray) -> np.ndarray:
     codes, lengths = encoded(words)
-    features = features.astype(np.float32)
     total = np.zeros((len(words), features.shape[1]), np.float32)
     for numbers, weight in occurrences(codes):
         for column in range(numbers.shape[1]):
@@ -114,33 +113,47 @@ def kernel(words: list[str], place: np.ndarray, features: np.ndarray) -> np.ndar
     return total / norms(lengths)[:, None].astype(np.float32)
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float, rounds: int = 30) -> np.ndarray:
-    """Newton steps for a linear machine; the last column of ``x`` is the constant and is not penalised."""
+def squared_hinge(
+    x: np.ndarray, positive: np.ndarray, negative: np.ndarray, ridge: float, rounds: int = 30
+) -> np.ndarray:
+    """Newton steps for a linear machine. A row counts as a positive and as a negative example with these weights; the last
+    column of ``x`` is the constant and is not penalised."""
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
 
+    def slacks(v):
+        scores = (x @ v.astype(x.dtype)).astype(float)
+        return np.maximum(0, 1 - scores), np.maximum(0, 1 + scores)
+
     def loss(v):
-        return 0.5 * (penalty * v * v).sum() + 0.5 * (weights * np.maximum(0, 1 - y * (x @ v)) ** 2).sum()
+        up, down = slacks(v)
+        return 0.5 * (penalty * v * v).sum() + 0.5 * (positive * up**2 + negative * down**2).sum()
 
     now = loss(w)
     for _ in range(rounds):
-        slack = 1 - y * (x @ w)
-        active = slack > 0
-        xa, wa = x[active], weights[active]
-        gradient = penalty * w - xa.T @ (wa * slack[active] * y[active])
-        step = np.linalg.solve((xa * wa[:, None]).T @ xa + np.diag(penalty), gradient)
+        up, down = slacks(w)
+        curve = (positive * (up > 0) + negative * (down > 0)).astype(x.dtype)
+        gradient = penalty * w - x.T @ (positive * up - negative * down).astype(x.dtype)
+        hessian = np.diag(penalty)
+        for start in range(0, len(x), 4096):
+            part = x[start : start + 4096]
+            hessian += (part * curve[start : start + 4096, None]).T @ part
+        step = np.linalg.solve(hessian, gradient)
         scale = 1.0
         while scale > 1e-4 and loss(w - scale * step) > now:
             scale /= 2
-        w, before, now = w - scale * step, now, loss(w - scale * step)
+        w = w - scale * step
+        before, now = now, loss(w)
         if before - now < 1e-7 * max(1.0, before):
             break
     return w
 
 
-def trained(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks: list[str], ridge: float) -> tuple[np.ndarray, float]:
-    """Subsequence weights and bias of a machine over the landmarks' Nyström features.
+def trained(
+    words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks: list[str], ridge: float
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Subsequence numbers, their weights, and the bias of a machine over the landmarks' Nyström features.
 
     ``toxic`` and ``clean`` are the weights with which a word counts as an example of either class.
     """
@@ -149,20 +162,12 @@ def trained(words: list[str], toxic: np.ndarray, clean: np.ndarray, landmarks: l
     strong = values > values.max() * 1e-6
     root = vectors[:, strong] / np.sqrt(values[strong])
     order = np.argsort([len(w) for w in words], kind="stable")
-    parts = [order[i : i + 4096] for i in range(0, len(order), 4096)]
     x = np.empty((len(words), root.shape[1] + 1), np.float32)
-    for part in parts:
+    for start in range(0, len(order), 2048):
+        part = order[start : start + 2048]
         x[part, :-1] = kernel([words[i] for i in part], place, features) @ root
     x[:, -1] = 1
-    seen_toxic, seen_clean = toxic > 0, clean > 0
-    w = squared_hinge(
-        np.concatenate([x[seen_toxic], x[seen_clean]]),
-        np.concatenate([np.ones(seen_toxic.sum()), -np.ones(seen_clean.sum())]),
-        np.concatenate([toxic[seen_toxic], clean[seen_clean]]),
-        ridge,
-    )
-    table = np.zeros(ALPHABET**TAKEN)
+    w = squared_hinge(x, toxic, clean, ridge)
     weights = features @ (root @ w[:-1])
     numbers = np.flatnonzero(place)
-    table[numbers] = weights[place[numbers]]
-    return table.astype(np.float32), float(w[-1])
+    return numbers, weights[place[numbers]], float(w[-1])

@@ -35,7 +35,7 @@ from duewatch.llm import string_kernel
 from duewatch.llm.text import words_of
 
 MOST_PER_LABEL = 6_000
-MOST_WORDS = 40_000
+MOST_WORDS = 30_000
 LANDMARKS = 256
 CLEAN_WEIGHT = 3.0
 RIDGE = 1e-5
@@ -148,6 +148,37 @@ def _highest_of(table: np.ndarray, bias: float):
     return run
 
 
+def _machine(odds: float):
+    """Trains on the word counts of all batches. ``odds``: toxic documents per clean one."""
+
+    def run(batches):
+        rows = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
+        if rows is None:
+            return
+        words = rows.column("word").to_pylist()
+        toxic = rows.column("p").to_numpy().astype(float)
+        clean = rows.column("q").to_numpy().astype(float) * CLEAN_WEIGHT * odds
+        if not toxic.sum() or not clean.sum():
+            return
+        excess = np.argsort(clean / CLEAN_WEIGHT - toxic, kind="stable")[: LANDMARKS // 2]
+        others = np.setdiff1d(np.argsort(-clean, kind="stable")[: LANDMARKS * 8], excess)[::16][: LANDMARKS // 2]
+        landmarks = [words[i] for i in np.concatenate([excess, others])]
+        sure = [i for i in excess if clean[i] == 0 and toxic[i] >= 3]
+        spelled = [(v, toxic[i] * INSERTED_WEIGHT / len(vs)) for i in sure if (vs := misspelled(words[i])) for v in vs]
+        words += [v for v, _ in spelled]
+        toxic = np.concatenate([toxic, [n for _, n in spelled]])
+        clean = np.concatenate([clean, np.zeros(len(spelled))])
+        total = toxic.sum() + clean.sum()
+        numbers, weights, bias = string_kernel.trained(words, toxic / total, clean / total, landmarks, RIDGE)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([numbers.astype(np.int64).tobytes()], pa.binary()),
+             pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])],
+            names=["numbers", "weights", "bias"],
+        )
+
+    return run
+
+
 class ToxicityModel:
     """Weights, bias and the logistic link from raw scores to probabilities. A few hundred kilobytes, whatever the input."""
 
@@ -203,31 +234,25 @@ def train_toxicity(
     sample = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")).join(
         F.broadcast(chosen[0].unionByName(chosen[1])), "id"
     )
+    sizes = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
+    none = ToxicityModel(np.zeros(string_kernel.ALPHABET**string_kernel.TAKEN, np.float32), 0.0, 0.0, -500.0)
+    if len(sizes) < 2:
+        return none
     counted = (
         sample.select("text", "toxic").mapInArrow(_word_counts, "word string, toxic int, n long")
         .groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("p"),
                              F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("q"))
         .orderBy((F.col("p") + F.col("q")).desc(), F.xxhash64("word")).limit(MOST_WORDS)
-    ).toPandas()
-    sizes = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
-    empty = np.zeros(string_kernel.ALPHABET**string_kernel.TAKEN, np.float32)
-    if len(sizes) < 2 or not counted["p"].sum() or not counted["q"].sum():
-        return ToxicityModel(empty, 0.0, 0.0, -500.0)
-    words = counted["word"].tolist()
-    toxic = counted["p"].to_numpy(float)
-    clean = counted["q"].to_numpy(float) * CLEAN_WEIGHT * sizes[1] / sizes[0]
-    excess = np.argsort(clean / CLEAN_WEIGHT - toxic, kind="stable")[: LANDMARKS // 2]
-    others = np.setdiff1d(np.argsort(-clean, kind="stable")[: LANDMARKS * 8], excess)[:: 16][: LANDMARKS // 2]
-    landmarks = [words[i] for i in np.concatenate([excess, others])]
-    sure = [i for i in excess if clean[i] == 0 and toxic[i] >= 3]
-    spelled = [(v, toxic[i] * INSERTED_WEIGHT / len(vs)) for i in sure if (vs := misspelled(words[i])) for v in vs]
-    words = words + [v for v, _ in spelled]
-    toxic = np.concatenate([toxic, [n for _, n in spelled]])
-    clean = np.concatenate([clean, np.zeros(len(spelled))])
-    total = toxic.sum() + clean.sum()
-    table, bias = string_kernel.trained(words, toxic / total, clean / total, landmarks, RIDGE)
-    fitted = sample.select("text", "toxic").mapInArrow(_highest_of(table, bias), "toxic int, raw double").toPandas()
-    slope, offset = logistic(fitted["raw"].to_numpy(), fitted["toxic"].to_numpy(float))
+    )
+    # At most MOST_WORDS rows: the machine is trained in one task, and only its weights come back.
+    fitted = counted.mapInArrow(_machine(sizes[1] / sizes[0]), "numbers binary, weights binary, bias double").head()
+    if not fitted:
+        return none
+    table = none.table
+    table[np.frombuffer(fitted["numbers"], np.int64)] = np.frombuffer(fitted["weights"], np.float32)
+    bias = fitted["bias"]
+    raw = sample.select("text", "toxic").mapInArrow(_highest_of(table, bias), "toxic int, raw double").toPandas()
+    slope, offset = logistic(raw["raw"].to_numpy(), raw["toxic"].to_numpy(float))
     return ToxicityModel(table, bias, slope, offset)
 
 
