@@ -94,6 +94,13 @@ def op9_html_extraction(spark, folder):
     return main_texts(table(spark, folder, "pages"))
 
 
+@query
+def op10_lm_scoring(spark, folder):
+    from duewatch.llm.lm import language_model_scores
+
+    return language_model_scores(table(spark, folder, "documents"))
+
+
 @query
 def pipeline(spark, folder):
     import corpus_pipeline
