@@ -262,5 +262,5 @@ def near_duplicates(
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each group, with its columns; rows without an id stay."""
-    kept = near_duplicates(docs, id_column, text_column).filter("kept").select(F.col(id_column).alias("kept_id")).distinct()
-    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = near_duplicates(docs, id_column, text_column).filter("kept").select(F.col(f"`{id_column}`").alias(f"{id_column} kept")).distinct()
+    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col(f"`{id_column} kept`")), "left_semi")

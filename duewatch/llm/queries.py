@@ -38,6 +38,24 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_ordinal_quality(spark, folder):
+    """Grades of the ratings: 0 low quality, 1 fair (of quality, but toxic), 2 good."""
+    from pyspark.sql import functions as F
+
+    from duewatch.llm.ordinal import grade_report, train_grades
+    from duewatch.llm.toxicity import held_out_rows
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    grade = F.col("quality") * (F.lit(2) - F.coalesce("toxic", F.lit(0)))
+    held_out = held_out_rows("doc_id", 4, 2)
+    model = train_grades(docs, labels.withColumn("grade", grade), held_out=held_out)
+    return grade_report(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "expected_grade", F.col("tail_probabilities")[0].alias("p_fair"),
+        F.element_at("tail_probabilities", -1).alias("p_good"), "kept",
+    )
+
+
 @query
 def op2_best_fit_packing(spark, folder):
     from duewatch.llm.packing import pack_documents

@@ -212,5 +212,5 @@ def similar_vectors(
 
 def representatives(rows: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """One row of each group of similar vectors, with its columns; rows without an id stay."""
-    kept = similar_vectors(rows, id_column, vector_column).filter("kept").select(F.col(id_column).alias("kept_id")).distinct()
-    return rows.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = similar_vectors(rows, id_column, vector_column).filter("kept").select(F.col(f"`{id_column}`").alias(f"{id_column} kept")).distinct()
+    return rows.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col(f"`{id_column} kept`")), "left_semi")
