@@ -15,6 +15,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duewatch.llm.robust import chi_square_quantile, mcd_estimates, squared_distance
 from duewatch.llm.scratch import Scratch
@@ -28,7 +29,7 @@ CONFIDENCE = 0.9999
 FEATURES = {"symbol_rate": 0.05, "word_length": 0.08, "dup_line_rate": 0.15, "repeat_rate": 0.1}
 
 
-@F.arrow_udf("struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long>")
+@F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in FIELDS]))
 def text_statistics(text: pa.Array) -> pa.Array:
     rows = [statistics(t) for t in text.cast(pa.large_binary()).to_pylist()]
     columns = list(zip(*rows)) or [()] * len(FIELDS)
