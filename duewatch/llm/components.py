@@ -38,5 +38,7 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
         edges = stars
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
         if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            final = scratch.put(edges.select(F.col("a").alias("node"), F.col("b").alias("root")), "roots")
+            scratch.drop(edges)
+            return final
         seen = now

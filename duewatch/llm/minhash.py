@@ -10,9 +10,11 @@ are the banding key. A pair at similarity 0.75 shares no key with probability
 2. In each group of classes with an equal key, every class is compared with the
    least one. Compared means: the registers' collision-corrected estimate is not
    under ESTIMATE, then the full sets are joined and the link is confirmed.
-3. Confirmed links give components. Groups that still span several components
-   have all their pairs across components compared, block by block: registers
-   first, inside tasks, and only pairs that pass become rows.
+3. Confirmed links give components. Classes of groups that still span several
+   components are gathered into crowds, connected by the groups they share, so
+   that each class is in one crowd. All pairs of a crowd that share a key and are
+   in different components are compared, block by block inside tasks: registers
+   first, then the full sets. Only links that join components become rows.
 
 So pairs within a component that is already known are never formed, whatever the
 size of a group of copies, and no candidate is dropped. Sets are compared as
@@ -152,22 +154,56 @@ def _passing(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
 
 
-def _across(batches):
-    """Pairs of two blocks that lie in different components and whose registers are alike."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            left, right = row["left"], row["right"]
-            a, b = (np.frombuffer(b"".join(r["regs"] for r in side), np.uint16).reshape(-1, REGISTERS) for side in (left, right))
-            ka, kb = (np.array([r["key"] for r in side], np.int64) for side in (left, right))
-            ca, cb = (np.array([r["root"] for r in side], np.int64) for side in (left, right))
-            found = []
-            for i in range(0, len(ka), 16):
-                alike = estimates(a[i : i + 16, None], b[None]) >= ESTIMATE
-                alike &= ca[i : i + 16, None] != cb[None]
-                x, y = np.nonzero(alike)
-                found.append(np.stack([np.minimum(ka[i + x], kb[y]), np.maximum(ka[i + x], kb[y])]))
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+def _across(percent: int):
+    """Confirmed links of two blocks that join different components."""
+
+    def side(rows):
+        regs = np.frombuffer(b"".join(rows.field("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        lists = rows.field("shingles")
+        flat, offsets = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        sets = [flat[x:y].view(np.uint64) for x, y in zip(offsets, offsets[1:])]
+        return rows.field("key").to_numpy(), rows.field("root").to_numpy(), regs, sets
+
+    def run(batches):
+        for batch in batches:
+            for place in range(batch.num_rows):
+                ka, ca, a, sa = side(batch.column("left")[place].values)
+                kb, cb, b, sb = side(batch.column("right")[place].values)
+                found = list(_joining(ka, ca, a, sa, kb, cb, b, sb, percent))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"]
+                )
+
+    return run
+
+
+def _joining(ka, ca, a, sa, kb, cb, b, sb, percent: int):
+    joined = {int(c): int(c) for c in np.concatenate([ca, cb])}
+
+    def find(c):
+        while joined[c] != c:
+            joined[c] = c = joined[joined[c]]
+        return c
+
+    keys_a, keys_b = a.view(np.uint64), b.view(np.uint64)
+    for i in range(len(ka)):
+        near = (keys_b == keys_a[i]).any(axis=1) & (cb != ca[i])
+        others = np.flatnonzero(near)
+        for j in others[estimates(a[i], b[others]) >= ESTIMATE].tolist():
+            x, y = find(int(ca[i])), find(int(cb[j]))
+            if x != y and _alike(sa[i], sb[j], percent):
+                joined[max(x, y)] = min(x, y)
+                yield int(ka[i]), int(kb[j])
+
+
+def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Of two ordered arrays of distinct hashes."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    place = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int(np.count_nonzero(large[place] == small))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
 def _sets(batches):
@@ -185,6 +221,13 @@ def _sets(batches):
             )
 
 
+def _full_sets(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, shingles) of the classes with these keys, from the whole text of a document of each."""
+    wanted = classes.join(keys.distinct(), "key").select("key", F.col("doc").alias("id"))
+    read = docs.join(wanted, "id").select("key", "text").mapInArrow(_sets, "key long, shingles array<long>")
+    return read.groupBy("key").agg(F.first("shingles").alias("shingles"))
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of class keys whose full sets are alike, written."""
     regs = classes.select("key", "regs")
@@ -193,12 +236,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
         .select("a", "b", "ra", "rb").mapInArrow(_passing, "a long, b long"),
         "pairs",
     )
-    needed = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = scratch.put(
-        docs.join(classes.join(needed, "key").select("key", F.col("doc").alias("id")), "id")
-        .select("key", "text").mapInArrow(_sets, "key long, shingles array<long>").dropDuplicates(["key"]),
-        "sets",
-    )
+    sets = scratch.put(_full_sets(likely.select(F.explode(F.array("a", "b")).alias("key")), classes, docs), "sets")
     both = likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     alike = shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent
@@ -207,6 +245,19 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
     return links
 
 
+def _edges(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, key, root) of the groups whose members, without the first round's lead, are in several components."""
+    rest = members.filter("n > 2 and key <> lead").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+        "band", "key", F.coalesce("root", "key").alias("root")
+    )
+    several = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    return rest.join(several.select("band"), "band")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -231,28 +282,28 @@ def near_duplicates(
     links = _confirmed(first, classes, docs, percent, scratch)
     roots = connected_components(links, scratch)
 
-    # Pairs with the least class of a group are done; what is left are pairs of the others.
-    rest = members.filter("n > 2 and key <> lead").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "key", F.coalesce("root", "key").alias("root")
-    )
-    mixed_bands = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    rest = scratch.put(rest.join(mixed_bands, "band").join(classes.select("key", "regs"), "key"), "rest")
+    rest = scratch.put(_undecided(members, roots), "rest")
+    leads = rest.groupBy("band").agg(F.min("key").alias("a"))
+    crowded = connected_components(rest.join(leads, "band").select("a", F.col("key").alias("b")), scratch)
+    open_keys = rest.select("key", "root").distinct().join(
+        crowded.select(F.col("node").alias("key"), F.col("root").alias("crowd")), "key", "left"
+    ).select("key", "root", F.coalesce("crowd", "key").alias("crowd"))
+    sets = scratch.put(_full_sets(open_keys.select("key"), classes, docs), "sets")
+    rows = open_keys.join(classes.select("key", "regs"), "key").join(sets, "key")
     lists = scratch.put(
-        blocked(rest, "band", "key", ["key", "root", "regs"], BLOCK, block_counts(rest, "band", BLOCK)), "lists"
-    )
-    more = _confirmed(
-        paired(lists, lists, "band", same=True).select("left", "right").mapInArrow(_across, "a long, b long").distinct(),
-        classes, docs, percent, scratch,
+        blocked(rows, "crowd", "key", ["key", "root", "regs", "shingles"], BLOCK, block_counts(open_keys, "crowd", BLOCK)),
+        "lists",
     )
-    roots = connected_components(
-        roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch
+    more = scratch.put(
+        paired(lists, lists, "crowd", same=True).select("left", "right").mapInArrow(_across(percent), "a long, b long"), "links"
     )
+    roots = connected_components(_edges(roots).unionByName(more), scratch)
     grouped = classes.select("key", "doc").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "doc", F.coalesce("root", "key").alias("root")
     )
     leaders = grouped.groupBy("root").agg(F.min("doc").alias("leader"))
     final = scratch.put(grouped.join(leaders, "root").select("key", "leader"), "components")
-    scratch.drop(members, links, rest, lists, more, classes)
+    scratch.drop(members, links, rest, sets, lists, more, classes)
     own = F.coalesce(F.when(F.col("id").isNotNull(), F.col("leader")), F.col("id"))
     return signed.select("id", "n_shingles", "key").join(final, "key", "left").select(
         F.col("id").alias(id_column), "n_shingles", own.alias("component_id"),
