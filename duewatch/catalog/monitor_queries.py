@@ -77,12 +77,24 @@ FROM (SELECT feature, freedom,
             JOIN (SELECT feature, count(*) AS n, count(DISTINCT value) AS categories FROM category_values GROUP BY ALL) t ON t.feature = c.feature) k) z
 GROUP BY feature, freedom
 """
+# Tails of the chi-squared distribution: closed sums for 2 and 6 degrees of freedom, and for 1 the area under the
+# normal curve beyond the root, in 4000 steps.
+DRIFT_SQL = """
+SELECT feature, 'Kolmogorov-Smirnov' AS test, statistic, p_value, p_value < 0.05 AS drift_detected FROM ks
+UNION ALL
+SELECT feature, 'Chi-squared', statistic,
+       CASE freedom WHEN 2 THEN exp(-statistic / 2)
+            WHEN 6 THEN exp(-statistic / 2) * (1 + statistic / 2 + statistic * statistic / 8)
+            WHEN 1 THEN (SELECT sum(exp(-pow(sqrt(statistic) + (j + CAST(0.5 AS DOUBLE)) / 400, 2) / 2)) / 400 * sqrt(2 / pi()) FROM range(0, 4000) t(j)) END,
+       drift_detected FROM chi
+"""
 DRIFT_VIEWS = {
     "sides": SIDES_SQL,
     "numeric_values": long_sql(NUMERIC, "DOUBLE"),
     "category_values": long_sql(CATEGORICAL, "VARCHAR"),
     "ks": KS_SQL,
     "chi": CHI2_SQL,
+    "drift": DRIFT_SQL,
 }
 
 
@@ -92,30 +104,28 @@ def stat_ks_2samp(inputs: Inputs) -> DataFrame:
     return rounded(drift.ks_test(sides(inputs), "is_reference", NUMERIC))
 
 
-@query("SELECT feature, round(statistic, 6) AS statistic, freedom, drift_detected FROM chi", **DRIFT_VIEWS)
+@query("""SELECT c.feature, round(c.statistic, 6) AS statistic, c.freedom, round(d.p_value, 6) AS p_value, c.drift_detected,
+       CAST(NULL AS VARCHAR) AS notes FROM chi c JOIN drift d ON d.feature = c.feature""", **DRIFT_VIEWS)
 def stat_chi2(inputs: Inputs) -> DataFrame:
-    tested = drift.chi2_test(sides(inputs), "is_reference", CATEGORICAL)
-    return rounded(tested.select("feature", "statistic", "freedom", "drift_detected"))
+    return rounded(drift.chi2_test(sides(inputs), "is_reference", CATEGORICAL))
+
+
+def full_drift(inputs: Inputs) -> DataFrame:
+    return drift.drift_report(sides(inputs), "is_reference", NUMERIC, CATEGORICAL)
 
 
-@query("""SELECT feature, 'Kolmogorov-Smirnov' AS test, round(statistic, 6) AS statistic, p_value < 0.05 AS drift_detected FROM ks
-UNION ALL SELECT feature, 'Chi-squared', round(statistic, 6), drift_detected FROM chi""", **DRIFT_VIEWS)
+@query("""SELECT feature, test, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, drift_detected,
+       CAST(NULL AS VARCHAR) AS notes FROM drift""", **DRIFT_VIEWS)
 def mon_drift_report(inputs: Inputs) -> DataFrame:
-    report = drift.drift_report(sides(inputs), "is_reference", NUMERIC, CATEGORICAL)
-    return rounded(report.select("feature", "test", "statistic", "drift_detected"))
+    return rounded(full_drift(inputs))
 
 
 HISTOGRAM_VIEWS = {
-    "plan_both": """
-SELECT feature, CASE WHEN high = low THEN 1 ELSE ceil((high - low) / CASE WHEN iqr > 0 THEN least(2 * iqr / cbrt(n), (high - low) / (log2(n) + 1)) ELSE (high - low) / (log2(n) + 1) END) END AS auto_bins
-FROM (SELECT feature, CAST(count(*) AS DOUBLE) AS n, min(value) AS low, max(value) AS high,
-             quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM numeric_values GROUP BY feature) b""",
     "plan_side": """
 SELECT s.feature, s.is_reference, s.n, s.low, s.high,
-       CAST(CASE WHEN b.auto_bins + 1 <= 251 THEN CASE WHEN s.high = s.low THEN 1 ELSE ceil((s.high - s.low) / CASE WHEN s.iqr > 0 THEN least(2 * s.iqr / cbrt(s.n), (s.high - s.low) / (log2(s.n) + 1)) ELSE (s.high - s.low) / (log2(s.n) + 1) END) END ELSE 250 END AS BIGINT) AS bins
+       CAST(CASE WHEN s.high = s.low THEN 1 ELSE ceil((s.high - s.low) / CASE WHEN s.iqr > 0 THEN least(2 * s.iqr / cbrt(s.n), (s.high - s.low) / (log2(s.n) + 1)) ELSE (s.high - s.low) / (log2(s.n) + 1) END) END AS BIGINT) AS bins
 FROM (SELECT feature, is_reference, CAST(count(*) AS DOUBLE) AS n, min(value) AS low, max(value) AS high,
-             quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM numeric_values GROUP BY feature, is_reference) s
-JOIN plan_both b ON b.feature = s.feature""",
+             quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM numeric_values GROUP BY feature, is_reference) s""",
     "binned": """
 SELECT feature, is_reference, bin0 - CASE WHEN value < low + bin0 * width THEN 1 ELSE 0 END
          + CASE WHEN value >= low + (bin0 + 1) * width AND bin0 < bins - 1 THEN 1 ELSE 0 END AS bin, count(*) AS n
@@ -203,15 +213,11 @@ def agg_positive_rate_by_month(inputs: Inputs) -> DataFrame:
     return rounded(monitor.positive_rate_by_month(*reference_and_current(inputs)))
 
 
-def numeric_drift(inputs: Inputs) -> DataFrame:
-    return drift.drift_report(sides(inputs), "is_reference", NUMERIC, [])
-
-
-@query("""SELECT (SELECT CAST(count(CASE WHEN p_value < 0.05 THEN 1 END) AS VARCHAR) || ' / ' || CAST(count(*) AS VARCHAR) || ' features drifted' FROM ks) AS feature_drift,
+@query("""SELECT (SELECT CAST(count(CASE WHEN drift_detected THEN 1 END) AS VARCHAR) || ' / ' || CAST(count(*) AS VARCHAR) || ' features drifted' FROM drift) AS feature_drift,
        CASE WHEN bool_or(auc < oot * CAST(0.95 AS DOUBLE) OR auc < test * CAST(0.93 AS DOUBLE) OR auc < train * CAST(0.9 AS DOUBLE)) THEN 'Bad' ELSE 'Good' END AS model_auc_performance
 FROM inference""", **DRIFT_VIEWS, **MONITOR_VIEWS)
 def mon_status(inputs: Inputs) -> DataFrame:
-    return monitor.performance_status(scores(inputs), numeric_drift(inputs))
+    return monitor.performance_status(scores(inputs), full_drift(inputs))
 
 
 @query("SELECT month, round(auc, 6) AS auc, level, message FROM alerts", **MONITOR_VIEWS)
@@ -221,21 +227,22 @@ def mon_auc_alerts(inputs: Inputs) -> DataFrame:
 
 @query("""SELECT CASE WHEN count(CASE WHEN level = 'Critical' THEN 1 END) > 0 THEN 'Critical' WHEN count(CASE WHEN level = 'Alert' THEN 1 END) > 0 THEN 'Alert'
             WHEN count(*) > 0 THEN 'Warning' ELSE 'OK' END AS highest_level,
-       (SELECT bool_or(p_value < 0.05) FROM ks) AS feature_drift_detected,
-       count(*) > 0 OR (SELECT bool_or(p_value < 0.05) FROM ks) AS alert_raised
+       (SELECT bool_or(drift_detected) FROM drift) AS feature_drift_detected,
+       count(*) > 0 OR (SELECT bool_or(drift_detected) FROM drift) AS alert_raised
 FROM alerts""", **DRIFT_VIEWS, **MONITOR_VIEWS)
 def mon_highest_level(inputs: Inputs) -> DataFrame:
-    return monitor.highest_level(monitor.auc_alerts(scores(inputs)), numeric_drift(inputs))
+    return monitor.highest_level(monitor.auc_alerts(scores(inputs)), full_drift(inputs))
 
 
-@query("""SELECT 'feature drift' AS kind, feature AS subject, printf('%s (p-value: %.4f)', feature, p_value) AS message FROM ks WHERE p_value < 0.05
+@query("""SELECT 'feature drift' AS kind, feature AS subject, printf('%s (p-value: %.4f)', feature, p_value) AS message FROM drift WHERE drift_detected
 UNION ALL SELECT 'AUC degradation', month, level || ': ' || message FROM alerts""", **DRIFT_VIEWS, **MONITOR_VIEWS)
 def mon_alert_table(inputs: Inputs) -> DataFrame:
-    return monitor.alert_table(monitor.auc_alerts(scores(inputs)), numeric_drift(inputs))
+    return monitor.alert_table(monitor.auc_alerts(scores(inputs)), full_drift(inputs))
 
 
-@query("""SELECT a.snapshot_date, a.records, round(a.auc, 6) AS auc, 30 AS dpd, 6 AS mob, coalesce(u.unmatched, 0) AS unmatched
-FROM matched_aucs a LEFT JOIN (SELECT g.snapshot_date, count(*) AS unmatched FROM gold_labels g
+@query("""SELECT coalesce(a.snapshot_date, u.snapshot_date) AS snapshot_date, coalesce(a.records, 0) AS records, round(a.auc, 6) AS auc,
+       30 AS dpd, 6 AS mob, coalesce(u.unmatched, 0) AS unmatched
+FROM matched_aucs a FULL JOIN (SELECT g.snapshot_date, count(*) AS unmatched FROM gold_labels g
   WHERE NOT EXISTS (SELECT 1 FROM scored_orders o WHERE o.Customer_ID = g.Customer_ID AND o.snapshot_date = g.snapshot_date)
   GROUP BY g.snapshot_date) u ON u.snapshot_date = a.snapshot_date""",
        matched="""SELECT s.snapshot_date, l.label, s.default_probability FROM scored_orders s

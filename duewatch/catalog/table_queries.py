@@ -30,9 +30,9 @@ def written(table: DataFrame, name: str, file_format: str = "parquet") -> str:
 
 @query(LOAN_SQL)
 def src_csv_scan(inputs: Inputs) -> DataFrame:
-    """Raw loans written as one headed CSV table, read back as text and typed."""
+    """Raw loans written as one headed CSV table with its columns in another order, read back by name as text and typed."""
     path = fresh_path(inputs.spark, "raw-loans")
-    inputs.raw("raw_loans").write.option("header", True).csv(path)
+    inputs.raw("raw_loans").select(*reversed(schemas.LOAN_COLUMNS)).write.option("header", True).csv(path)
     return typed(read_raw_csv(inputs.spark, path, schemas.LOAN_COLUMNS), schemas.LOAN_TYPES)
 
 

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Fixed value: the largest sample with an exact KS p-value.
-EXACT_LIMIT = 10_000
-
-
 def kolmogorov_tail(statistic: Column, n_left: Column, n_right: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample p-value with Stephens' small-sample correction, null for an empty sample."""
     left, right = n_left.cast("double"), n_right.cast("double")
@@ -62,20 +58,20 @@ def _exact_ks_tail(statistic: float, n_left: int, n_right: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def exact_ks_tail(statistic: pd.Series, n_left: pd.Series, n_right: pd.Series) -> pd.Series:
-    """Exact p-values of small samples, null for larger ones; one row per feature."""
-    small = (n_left > 0) & (n_right > 0) & (n_left <= EXACT_LIMIT) & (n_right <= EXACT_LIMIT)
+    """Exact p-values, null for an empty sample; one row per feature, and work that grows with the sample sizes."""
+    usable = statistic.notna() & (n_left > 0) & (n_right > 0)
     return pd.Series(
         [
-            _exact_ks_tail(float(d), int(n), int(m)) if usable else None
-            for d, n, m, usable in zip(statistic, n_left, n_right, small)
+            _exact_ks_tail(float(d), int(n), int(m)) if known else None
+            for d, n, m, known in zip(statistic, n_left, n_right, usable)
         ],
         dtype="float64",
     )
 
 
-def ks_tail(statistic: Column, n_left: Column, n_right: Column) -> Column:
-    """Two-sample p-value: exact up to ``EXACT_LIMIT`` rows a side, asymptotic above."""
-    return F.coalesce(exact_ks_tail(statistic, n_left, n_right), kolmogorov_tail(statistic, n_left, n_right))
+def ks_tail(statistic: Column, n_left: Column, n_right: Column, exact: bool = False) -> Column:
+    """Two-sample p-value by one method at every size: asymptotic, or exact if the caller asks for it."""
+    return (exact_ks_tail if exact else kolmogorov_tail)(statistic, n_left, n_right)
 
 
 def _chi_square_tail(statistic: float, freedom: int) -> float:

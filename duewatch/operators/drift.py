@@ -23,8 +23,6 @@ from duewatch.session import staged
 
 # Fixed values.
 SIGNIFICANCE = 0.05
-MAX_EDGES = 251
-FALLBACK_BINS = 250
 KS_NAME = "Kolmogorov-Smirnov"
 CHI2_NAME = "Chi-squared"
 NOT_APPLICABLE = "Test not applicable"
@@ -60,8 +58,19 @@ def side_totals(both: DataFrame, side: str, features: list[str], kind: str) -> D
     return both.agg(*counts).select(F.inline(F.array(*records)))
 
 
-def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
-    """Largest distance between the two distribution functions of every numeric feature."""
+def for_every_feature(tested: DataFrame, features: list[str]) -> DataFrame:
+    """The test results with a row for features without any known value, too."""
+    listed = tested.sparkSession.createDataFrame([(name,) for name in features], "feature string")
+    return listed.join(tested, "feature", "left").withColumn(
+        "drift_detected", F.coalesce("drift_detected", F.lit(False))
+    )
+
+
+def ks_test(both: DataFrame, side: str, features: list[str], exact: bool = False) -> DataFrame:
+    """Largest distance between the two distribution functions of every numeric feature.
+
+    The p-value is asymptotic at every size, or exact if asked for. A feature without known values on a side has none.
+    """
     values = long_values(both, side, features, "double")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
     # One row per feature, so never larger than the column count.
@@ -87,7 +96,7 @@ def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
         F.lit(0.0),
     )
     widest = F.greatest(F.col("_start") + F.col("_highest"), -(F.col("_start") + F.col("_lowest")))
-    return (
+    tested = (
         slices.withColumn("_start", start)
         .groupBy("feature")
         .agg(
@@ -95,9 +104,10 @@ def ks_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
             F.max("_n_ref").cast("long").alias("n_reference"),
             F.max("_n_cur").cast("long").alias("n_current"),
         )
-        .withColumn("p_value", ks_tail(F.col("statistic"), F.col("n_reference"), F.col("n_current")))
+        .withColumn("p_value", ks_tail(F.col("statistic"), F.col("n_reference"), F.col("n_current"), exact))
         .withColumn("drift_detected", F.coalesce(F.col("p_value") < SIGNIFICANCE, F.lit(False)))
     )
+    return for_every_feature(tested, features).fillna(0, ["n_reference", "n_current"])
 
 
 def chi2_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
@@ -125,13 +135,11 @@ def chi2_test(both: DataFrame, side: str, features: list[str]) -> DataFrame:
     )
     usable = summed.withColumn("statistic", F.when(~F.col("_one_sided"), F.col("_sum")))
     tested = usable.withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("freedom")))
-    return tested.select(
-        "feature",
-        "statistic",
-        "freedom",
-        "p_value",
-        F.coalesce(F.col("p_value") < SIGNIFICANCE, F.lit(False)).alias("drift_detected"),
-        F.when(F.col("_one_sided"), F.lit(NOT_APPLICABLE)).alias("notes"),
+    tested = tested.withColumn("drift_detected", F.coalesce(F.col("p_value") < SIGNIFICANCE, F.lit(False)))
+    usable = ~F.coalesce(F.col("_one_sided"), F.lit(True))
+    return for_every_feature(tested, features).select(
+        "feature", "statistic", "freedom", "p_value", "drift_detected",
+        F.when(~usable, F.lit(NOT_APPLICABLE)).alias("notes"),
     )
 
 
@@ -140,8 +148,9 @@ def drift_report(both: DataFrame, side: str, numeric: list[str], categorical: li
     shared = ["feature", "statistic", "p_value", "drift_detected"]
     parts = []
     if numeric:
-        parts.append(ks_test(both, side, numeric).select(*shared, F.lit(KS_NAME).alias("test"),
-                                                         F.lit(None).cast("string").alias("notes")))
+        tested = ks_test(both, side, numeric)
+        notes = F.when(F.col("p_value").isNull(), F.lit(NOT_APPLICABLE)).alias("notes")
+        parts.append(tested.select(*shared, F.lit(KS_NAME).alias("test"), notes))
     if categorical:
         parts.append(chi2_test(both, side, categorical).select(*shared, F.lit(CHI2_NAME).alias("test"), "notes"))
     if not parts:
@@ -159,12 +168,12 @@ def _auto_bins(rows, low, high, quartile_range):
     return F.when(spread > 0, F.ceil(spread / width)).otherwise(F.lit(1)).cast("long")
 
 
-def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFrame:
+def density_histogram(both: DataFrame, side: str, features: list[str], bins: int | None = None) -> DataFrame:
     """Density per feature, side and bin; each side has its own range and bin count.
 
-    The bin count is automatic unless the two sides together would need more
-    than ``MAX_EDGES`` edges. The rows are read once: ranges, quartiles and bins
-    all come from the written counts of distinct values.
+    The bin count is automatic, or ``bins`` if given, at every size. Automatic
+    counts grow with far outliers; give ``bins`` for those. The rows are read once: ranges, quartiles and bins all come from the written counts of
+    distinct values.
     """
     values = long_values(both, side, features, "double")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
@@ -172,7 +181,6 @@ def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFr
     weights = F.array(
         F.struct(F.lit("reference").alias("_part"), F.col("_ref").alias("_rows")),
         F.struct(F.lit("current").alias("_part"), F.col("_cur").alias("_rows")),
-        F.struct(F.lit("together").alias("_part"), (F.col("_ref") + F.col("_cur")).alias("_rows")),
     )
     parts = sliced.select("feature", SLICE, "value", F.inline(weights)).where(F.col("_rows") > 0)
 
@@ -183,18 +191,17 @@ def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFr
     quartiles = sliced_quantiles(parts, keys, "value", "_rows", [0.25, 0.75]).groupBy(*keys).agg(
         (F.max("quantile") - F.min("quantile")).alias("_iqr")
     )
-    bins = _auto_bins(F.col("_n"), F.col("_low"), F.col("_high"), F.col("_iqr"))
-    # Three rows per feature; written because three branches below read it.
-    plan = staged(bounds.join(quartiles, keys).withColumn("_auto", bins), "bin-plan")
-    together = plan.where(F.col("_part") == "together").select("feature", (F.col("_auto") + 1).alias("_edges"))
+    automatic = _auto_bins(F.col("_n"), F.col("_low"), F.col("_high"), F.col("_iqr"))
+    # Two rows per feature; written because two branches below read it.
+    plan = staged(
+        bounds.join(quartiles, keys).withColumn("bins", automatic if bins is None else F.lit(bins).cast("long")), "bin-plan"
+    )
     flat = F.col("_low") == F.col("_high")
     sides = (
-        plan.where(F.col("_part") != "together")
-        .join(together, "feature")
-        .select(
+        plan.select(
             *keys,
             "_n",
-            F.when(F.col("_edges") <= MAX_EDGES, F.col("_auto")).otherwise(F.lit(FALLBACK_BINS)).alias("bins"),
+            "bins",
             F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
             F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
         )
@@ -211,8 +218,7 @@ def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFr
     too_high = (F.col("value") < edge(F.col("_bin"))).cast("long")
     too_low = ((F.col("value") >= edge(F.col("_bin") + 1)) & (F.col("_bin") < F.col("bins") - 1)).cast("long")
     counted = (
-        parts.where(F.col("_part") != "together")
-        .join(F.broadcast(sides), keys)
+        parts.join(F.broadcast(sides), keys)
         .withColumn("_bin", rough)
         .withColumn("bin", F.col("_bin") - too_high + too_low)
         .groupBy(*keys, "bin")
@@ -229,11 +235,3 @@ def density_histogram(both: DataFrame, side: str, features: list[str]) -> DataFr
         density.alias("density"),
     )
 
-
-def category_shares(both: DataFrame, side: str, feature: str) -> DataFrame:
-    """Count and share of every category on its side."""
-    counts = both.where(F.col(feature).isNotNull()).groupBy(side, feature).agg(F.count(F.lit(1)).alias("rows"))
-    totals = both.where(F.col(feature).isNotNull()).groupBy(side).agg(F.count(F.lit(1)).alias("_side_rows"))
-    # Two sides, two rows.
-    joined = counts.join(F.broadcast(totals), side)
-    return joined.select(side, feature, "rows", (F.col("rows") / F.col("_side_rows")).alias("share"))

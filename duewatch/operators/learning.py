@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from duewatch.functions.parsing import decimal_number
-from duewatch.operators.ranking import roc_auc
+from duewatch.operators.ranking import SLICE, in_slices, roc_auc, slices_before
 from duewatch.session import staged
 
 # Columns that are never features, and the search space
@@ -44,28 +44,35 @@ def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     return numeric, others
 
 
-def encoded(df: DataFrame, numeric: list[str], categorical: list[str], max_categories: int = 1000) -> DataFrame:
-    """Numbers as doubles (unreadable ones null) and categories as codes in alphabetical order.
+def encoded(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """Numbers as doubles (unreadable ones null) and categories as codes in alphabetical order, nulls as null.
 
-    The category list travels through the driver, so its length is checked first.
+    The distinct categories are numbered in range-partitioned slices and joined back, so there may be any number of them.
     """
     numbers = {name: decimal_number(F.col(f"`{name}`")) for name in numeric}
     typed = df.withColumns(numbers) if numbers else df
     if not categorical:
         return typed
-    sizes = typed.agg(*[F.approx_count_distinct(f"`{name}`").alias(name) for name in categorical]).first().asDict()
-    too_many = {name: size for name, size in sizes.items() if size > max_categories}
-    if too_many:
-        raise ValueError(f"too many categories: {too_many}")
-    coded = [f"_code_{place}" for place in range(len(categorical))]
-    indexer = StringIndexer(
-        inputCols=categorical, outputCols=coded, stringOrderType="alphabetAsc", handleInvalid="keep"
+    listed = [
+        F.struct(F.lit(place).alias("_column"), F.col(f"`{name}`").cast("string").alias("_value"))
+        for place, name in enumerate(categorical)
+    ]
+    values = typed.select(F.inline(F.array(*listed))).where("_value is not null").distinct()
+    sliced = staged(in_slices(values, ["_column"], "_value"), "categories")
+    sizes = sliced.groupBy("_column", SLICE).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(slices_before(["_column"])), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy("_column", SLICE).orderBy("_value"))
+    numbered = sliced.join(sizes.withColumn("_before", before), ["_column", SLICE]).select(
+        "_column", "_value", (F.col("_before") + inside - 1).cast("int").alias("_code")
     )
-    indexed = indexer.fit(typed).transform(typed)
-    codes = {
-        name: F.when(F.col(f"`{name}`").isNotNull(), F.col(code).cast("int")) for name, code in zip(categorical, coded)
-    }
-    return indexed.withColumns(codes).drop(*coded)
+    codes = staged(numbered, "category-codes")
+    for place, name in enumerate(categorical):
+        own = codes.where(F.col("_column") == place).select(
+            F.col("_value").alias(f"_value_{place}"), F.col("_code").alias(f"_code_{place}")
+        )
+        typed = typed.join(own, F.col(f"`{name}`").cast("string") == F.col(f"_value_{place}"), "left")
+    coded = {name: F.col(f"_code_{place}") for place, name in enumerate(categorical)}
+    return typed.withColumns(coded).select(*[F.col(f"`{name}`") for name in df.columns])
 
 
 def stratified_folds(df: DataFrame, folds: int, label: str = "label", seed: int = 42, bucket_bits: int = 12) -> DataFrame:

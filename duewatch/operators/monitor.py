@@ -162,11 +162,14 @@ def alert_table(alerts: DataFrame, drift: DataFrame) -> DataFrame:
 
 
 def evaluation_records(matched: DataFrame, unmatched: DataFrame, dpd: int, mob: int) -> DataFrame:
-    """One row per month: rows, AUC, label parameters and labels without a score."""
+    """One row per month with labels: scored rows, AUC, label parameters and labels without a score.
+
+    A month none of whose labels has a score has no rows and no AUC.
+    """
     scores = roc_auc(matched, ["snapshot_date"])
-    return scores.join(unmatched, "snapshot_date", "left").select(
+    return scores.join(unmatched, "snapshot_date", "full_outer").select(
         "snapshot_date",
-        "records",
+        F.coalesce("records", F.lit(0).cast("long")).alias("records"),
         "auc",
         F.lit(dpd).alias("dpd"),
         F.lit(mob).alias("mob"),

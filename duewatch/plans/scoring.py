@@ -11,7 +11,7 @@ from duewatch.operators.learning import scored
 from duewatch.operators.monitor import evaluation_records
 from duewatch.plans.tables import DPD, MOB
 from duewatch.sources.records import REQUIRED_RUN_KEYS, append_records, latest_record, read_records
-from duewatch.sources.snapshots import read_snapshots, write_snapshots
+from duewatch.sources.snapshots import calendar_months, read_snapshots, write_snapshots
 
 
 def load_run(spark: SparkSession, root: str, run_id: str | None = None) -> tuple[PipelineModel, list[str], dict]:
@@ -40,7 +40,8 @@ def score_and_write(spark: SparkSession, root: str, first, last, run_id: str | N
     model, features, _ = load_run(spark, root, run_id)
     store = read_snapshots(spark, f"{root}/gold/feature_store_full", first, last)
     labels = read_snapshots(spark, f"{root}/gold/label_store")
-    write_snapshots(score_months(store, model, features, labels, threshold), f"{root}/scored")
+    scores = score_months(store, model, features, labels, threshold)
+    write_snapshots(scores, f"{root}/scored", months=calendar_months(first, last))
 
 
 def evaluate_and_write(spark: SparkSession, root: str, first, last, dpd: int = DPD, mob: int = MOB) -> None:
@@ -48,7 +49,8 @@ def evaluate_and_write(spark: SparkSession, root: str, first, last, dpd: int = D
     rows = read_snapshots(spark, f"{root}/scored", first, last)
     labels = read_snapshots(spark, f"{root}/gold/label_store", first, last)
     labels = labels.where(F.col("label_def") == f"{dpd}dpd_{mob}mob")
-    write_snapshots(scored_with_labels(rows, labels), f"{root}/scored_with_labels")
+    months = calendar_months(first, last)
+    write_snapshots(scored_with_labels(rows, labels), f"{root}/scored_with_labels", months=months)
     matched = read_snapshots(spark, f"{root}/scored_with_labels", first, last)
     records = evaluation_records(matched, unmatched_labels(rows, labels), dpd, mob)
     append_records(records.withColumn("evaluated_at", F.current_timestamp()), f"{root}/evaluations")

@@ -21,7 +21,7 @@ from duewatch.operators.financials import clean_financials
 from duewatch.operators.loans import default_labels, loan_status
 from duewatch.operators.months import restamped
 from duewatch.sources import schemas
-from duewatch.sources.snapshots import read_raw_csv, read_snapshots, write_snapshots
+from duewatch.sources.snapshots import calendar_months, read_raw_csv, read_snapshots, write_snapshots
 
 # Label definition, feature lag and model tables.
 DPD, MOB, LAG_MONTHS = 30, 6, 6
@@ -98,20 +98,21 @@ def backfill(raw: RawTables, root: str, first, last, dpd: int = DPD, mob: int =
     Each layer is written once and read back by the next, so no layer is computed twice.
     """
     spark = raw.loans.sparkSession
+    months = calendar_months(first, last)
     for name, table in bronze_tables(raw, first, last).items():
-        write_snapshots(table, f"{root}/bronze/{name}", "csv")
+        write_snapshots(table, f"{root}/bronze/{name}", "csv", months=months)
 
-    write_snapshots(loan_status(month_rows(raw.loans, first, last)), f"{root}/silver/loan_daily")
-    write_snapshots(silver_attributes(raw.attributes, first, last), f"{root}/silver/attributes")
-    write_snapshots(silver_financials(raw.financials, first, last), f"{root}/silver/financials")
-    write_snapshots(clean_clicks(month_rows(raw.clicks, first, last)), f"{root}/silver/clickstream")
+    write_snapshots(loan_status(month_rows(raw.loans, first, last)), f"{root}/silver/loan_daily", months=months)
+    write_snapshots(silver_attributes(raw.attributes, first, last), f"{root}/silver/attributes", months=months)
+    write_snapshots(silver_financials(raw.financials, first, last), f"{root}/silver/financials", months=months)
+    write_snapshots(clean_clicks(month_rows(raw.clicks, first, last)), f"{root}/silver/clickstream", months=months)
 
     def silver(name: str) -> DataFrame:
         return read_snapshots(spark, f"{root}/silver/{name}", first, last)
 
-    write_snapshots(default_labels(silver("loan_daily"), dpd, mob), f"{root}/gold/label_store")
+    write_snapshots(default_labels(silver("loan_daily"), dpd, mob), f"{root}/gold/label_store", months=months)
     store = feature_store(joined_sources(silver("attributes"), silver("financials"), silver("clickstream")))
-    write_snapshots(store, f"{root}/gold/feature_store")
+    write_snapshots(store, f"{root}/gold/feature_store", months=months)
     written = read_snapshots(spark, f"{root}/gold/feature_store", first, last)
     for name, features in MODEL_TABLES.items():
-        write_snapshots(model_table(written, features), f"{root}/gold/{name}")
+        write_snapshots(model_table(written, features), f"{root}/gold/{name}", months=months)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,18 +11,43 @@ SNAPSHOT = "snapshot_date"
 
 
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A headed CSV file or folder, every column as text; the file is read once, never sampled for types."""
-    from duewatch.sources.schemas import text_schema
+    """The named columns of a headed CSV file or folder as text, whatever their order in the file.
+
+    Only the header is looked at before the query; types are not inferred. A missing column raises.
+    """
+    table = spark.read.option("header", True).csv(path)
+    return table.select(*[F.col(f"`{name}`") for name in columns])
+
 
-    return spark.read.schema(text_schema(columns)).option("header", True).csv(path)
+def calendar_months(first, last) -> list[str]:
+    """Every first of month from ``first`` to ``last``, as text."""
+    start, end = (datetime.date.fromisoformat(str(day)[:10]) for day in (first, last))
+    numbers = range(start.year * 12 + start.month - 1, end.year * 12 + end.month)
+    return [f"{number // 12:04d}-{number % 12 + 1:02d}-01" for number in numbers]
 
 
-def write_snapshots(df: DataFrame, path: str, file_format: str = "parquet") -> None:
+def _month_files(spark: SparkSession, path: str, months: list) -> dict[str, set[str]]:
+    """File names of the listed months that the table has, by folder."""
+    jvm, found = spark._jvm, {}
+    for month in months:
+        folder = f"{path}/{SNAPSHOT}={month}"
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(place):
+            found[folder] = {status.getPath().getName() for status in system.listStatus(place)}
+    return found
+
+
+def write_snapshots(df: DataFrame, path: str, file_format: str = "parquet", months: list | None = None) -> None:
     """Replace the months present in ``df``; other months of the table stay.
 
-    The rebalance hint lets Spark size the files: a month holding much of the
-    data is split over several tasks and small months share one.
+    ``months`` lists the months that the caller replaces: those of them without
+    a row in ``df`` are cleared. The rebalance hint lets Spark size the files: a
+    month holding much of the data is split over several tasks and small months
+    share one.
     """
+    spark = df.sparkSession
+    before = _month_files(spark, path, months or [])
     (
         df.hint("rebalance", SNAPSHOT)
         .write.mode("overwrite")
@@ -30,6 +57,10 @@ def write_snapshots(df: DataFrame, path: str, file_format: str = "parquet") -> N
         .format(file_format)
         .save(path)
     )
+    after = _month_files(spark, path, months or [])
+    for folder in [f for f, names in before.items() if after.get(f) == names]:  # not written this time
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def read_snapshots(spark: SparkSession, path: str, first=None, last=None) -> DataFrame:
@@ -49,7 +80,3 @@ def read_snapshot(spark: SparkSession, path: str, month) -> DataFrame:
         raise FileNotFoundError(f"no snapshot {month} in {path}")
     return df
 
-
-def read_snapshot_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A month-partitioned CSV table written by ``write_snapshots``."""
-    return read_raw_csv(spark, path, columns)

@@ -203,7 +203,7 @@ def test_histograms_match_numpy(spark):
 def test_histogram_of_a_long_tail_and_of_a_constant(spark):
     rng = np.random.default_rng(7)
     left = np.concatenate([rng.normal(size=500), [1e4]])
-    rows = density_histogram(sides_frame(spark, left, np.full(20, 3.0)), "is_reference", ["x"]).collect()
+    rows = density_histogram(sides_frame(spark, left, np.full(20, 3.0)), "is_reference", ["x"], bins=250).collect()
     reference = sorted((r.bin, r.density) for r in rows if r.is_reference)
     assert len(reference) == 250
     density, _ = np.histogram(left, bins=250, density=True)
@@ -215,3 +215,18 @@ def test_histogram_of_equal_values(spark):
     assert sorted((r.is_reference, r.bin, r.bin_start, r.bin_end, r.density) for r in rows) == [
         (False, 0, 2.5, 3.5, 1.0), (True, 0, 2.5, 3.5, 1.0)
     ]
+
+
+def test_features_without_values_are_reported(spark):
+    rows = [(i % 2 == 0, float(i), None, "a", None) for i in range(40)]
+    frame = spark.createDataFrame(rows, "is_reference boolean, x double, e double, c string, n string")
+    report = {r.feature: r for r in drift_report(frame, "is_reference", ["x", "e"], ["c", "n"]).collect()}
+    assert set(report) == {"x", "e", "c", "n"}
+    for name in ("e", "n"):
+        assert report[name].notes == "Test not applicable" and not report[name].drift_detected
+
+
+def test_a_given_number_of_bins_is_used(spark):
+    frame = sides_frame(spark, np.arange(50.0), np.arange(10.0))
+    bins = density_histogram(frame, "is_reference", ["x"], bins=7).groupBy("is_reference").count().collect()
+    assert [row["count"] for row in bins] == [7, 7]
