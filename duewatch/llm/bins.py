@@ -12,7 +12,7 @@ import numpy as np
 Filling = tuple[int, ...]
 Packing = list[tuple[Filling, int]]  # fillings, largest item first, and how often each is used
 
-NODES = 500  # search nodes looked at before the incumbent is taken
+NODES = 800  # search nodes looked at before the incumbent is taken
 BRANCHES = 2  # fillings kept at a node
 EVERY = 20  # nodes between two best-fit completions
 
@@ -74,17 +74,26 @@ def completions(counts: np.ndarray, room: int, waste: int) -> list[Filling]:
     """
     found: list[Filling] = []
     have = counts > 0
-    for left in range(min(waste, room) + 1):
-        for chosen in _exact(counts, have, room - left):
-            if not _dominated(chosen, left, counts):
+    for total in np.flatnonzero(_reachable(have, room))[::-1].tolist():
+        if room - total > waste or found:
+            break
+        for chosen in _exact(counts, have, total):
+            if not _dominated(chosen, room - total, counts):
                 found.append(chosen)
                 if len(found) == BRANCHES:
                     return found
-        if found:
-            break
     return found
 
 
+def _reachable(have: np.ndarray, room: int) -> np.ndarray:
+    """Which sums up to ``room`` at most three sizes can have, if each may be used again."""
+    one = have[: room + 1].astype(float)
+    two = np.minimum(np.convolve(one, one)[: room + 1], 1)
+    sums = one + two + np.convolve(two, one)[: room + 1] > 0.5
+    sums[:1] = True
+    return sums
+
+
 def _exact(counts: np.ndarray, have: np.ndarray, total: int):
     """Multisets of at most three sizes with this sum, fewest items first and larger items first."""
     if total == 0:
