@@ -25,6 +25,7 @@ from duewatch.session import fresh_path
 
 # Edges of the cumulative-share bins and the smallest set kept.
 SHARE_EDGES = [0, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9, 1.1]
+SHARE_NAMES = ["0–5%", "5–10%", "10–20%", "20–30%", "30–40%", "40–50%", "50–70%", "70–90%", "90–110%"]
 SMALLEST_SET = 3
 
 
@@ -117,7 +118,7 @@ def ranked_shares(totals: DataFrame) -> DataFrame:
 
 def feature_bins(totals: DataFrame) -> DataFrame:
     """Nested feature sets: a bin of the cumulative share holds its own and all earlier features."""
-    names = [f"{int(low * 100)}–{int(high * 100)}%" for low, high in zip(SHARE_EDGES, SHARE_EDGES[1:])]
+    names = SHARE_NAMES
     place = F.coalesce(*[F.when(F.col("cumulative") <= edge, F.lit(n)) for n, edge in enumerate(SHARE_EDGES[1:])])
     placed = ranked_shares(totals).withColumn("_own", place)
     nested = placed.withColumn("bin", F.explode(F.sequence(F.col("_own"), F.lit(len(names) - 1))))

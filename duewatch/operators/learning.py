@@ -18,7 +18,7 @@ from pyspark.sql import Window
 
 from duewatch.functions.parsing import decimal_number
 from duewatch.operators.ranking import SLICE, in_slices, roc_auc, slices_before
-from duewatch.session import staged
+from duewatch.session import fresh_path, staged
 
 # Columns that are never features, and the search space
 # (name: kind, low, high).
@@ -197,8 +197,7 @@ def cross_validated(
     sizes = {row["fold"]: row["rows"] for row in kept.groupBy("fold").agg(F.count(F.lit(1)).alias("rows")).collect()}
     rows = sum(sizes.values())
 
-    def one(job: tuple[int, int]) -> DataFrame:
-        trial, fold = job
+    def one(trial: int, fold: int) -> DataFrame:
         point = points[trial]
         columns = feature_groups[point["feature_group"]] if feature_groups else features
         assembler = VectorAssembler(inputCols=columns, outputCol="features")
@@ -206,13 +205,18 @@ def cross_validated(
         pipeline = Pipeline(stages=[assembler, classifier(point, rows - sizes[fold], trees)])
         model = pipeline.fit(data.where(F.col("fold") != fold))
         held_out = scored(model, data.where(F.col("fold") == fold))
-        return held_out.select(F.lit(trial).alias("trial"), "fold", F.col("label").cast("int"), "default_probability")
+        return held_out.select("fold", F.col("label").cast("int"), "default_probability")
+
+    path = fresh_path(folded.sparkSession, "out-of-fold")
+
+    def write_trial(trial: int) -> None:
+        """One trial's scores, as soon as its folds are done; a plan holds the models of one trial only."""
+        reduce(DataFrame.unionByName, [one(trial, fold) for fold in sorted(sizes)]).write.parquet(f"{path}/trial={trial}")
 
-    jobs = [(trial, fold) for trial in range(len(points)) for fold in sorted(sizes)]
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            parts = list(pool.map(one, jobs))
-        return staged(reduce(DataFrame.unionByName, parts), "out-of-fold")
+            list(pool.map(write_trial, range(len(points))))
+        return folded.sparkSession.read.parquet(path)
     finally:
         kept.unpersist()
 
@@ -221,7 +225,7 @@ def random_search(
     train: DataFrame, features: list[str], trials: int, folds: int = 5, seed: int = 42,
     feature_groups: dict[str, list[str]] | None = None, trees: int = DEFAULT_TREES, parallelism: int = 4,
 ) -> tuple[PipelineModel, dict, DataFrame]:
-    """Best model refitted on all rows, its parameters, and one row of mean metrics per trial."""
+    """Best model refitted on all rows, its parameters, and one row per trial: mean metrics, parameters, feature group."""
     points = draw_parameters(trials, seed, feature_groups)
     folded = staged(stratified_folds(train.na.drop("any", subset=["label", *features]), folds, seed=seed), "folds")
     predictions = cross_validated(folded, features, points, feature_groups, trees, parallelism)
@@ -229,9 +233,15 @@ def random_search(
     names = ["auc", "accuracy", "precision", "recall", "f1", "log_loss"]
     # One row per trial.
     means = staged(
-        by_fold.groupBy("trial").agg(*[F.avg(name).alias(f"mean_{name}") for name in names]), "trials"
+        by_fold.groupBy("trial").agg(*[F.avg(name).alias(f"mean_{name}") for name in names]), "trial-means"
     )
     best_row = means.orderBy(F.col("mean_auc").desc_nulls_last(), "trial").first()
     best = {**points[best_row["trial"]], "cv_auc": best_row["mean_auc"], "trial": best_row["trial"]}
     columns = feature_groups[best["feature_group"]] if feature_groups else features
-    return fit_classifier(folded.drop("fold"), columns, best, trees), {**best, "features": columns}, means
+    drawn = [
+        (trial, {name: float(point[name]) for name in SEARCH_SPACE}, point.get("feature_group"))
+        for trial, point in enumerate(points)
+    ]
+    parameters = train.sparkSession.createDataFrame(drawn, "trial int, parameters map<string,double>, feature_group string")
+    records = means.join(F.broadcast(parameters), "trial")
+    return fit_classifier(folded.drop("fold"), columns, best, trees), {**best, "features": columns}, records

@@ -25,6 +25,7 @@ class TrainingRun:
     selected_features: list[str]
     reference: DataFrame  # all split rows with score and split name
     record: dict
+    trials: DataFrame  # parameters and mean metrics of every trial of both searches
 
 
 def with_split(training: DataFrame, splits=SPLIT_CALENDAR, lag_months: int = LAG_MONTHS) -> DataFrame:
@@ -54,9 +55,9 @@ def two_stage_training(
     features, _ = feature_columns(rows.drop("split"))
     train = rows.where(F.col("split") == TRAIN).drop("split")
 
-    first_model, first, _ = random_search(train, features, initial_trials, folds, seed, trees=trees, parallelism=parallelism)
+    first_model, first, first_trials = random_search(train, features, initial_trials, folds, seed, trees=trees, parallelism=parallelism)
     groups = feature_groups(attribution_totals(first_model, train.na.drop("any", subset=features)))
-    model, best, _ = random_search(
+    model, best, second_trials = random_search(
         train, features, refine_trials, folds, seed + 1, groups, trees=trees, parallelism=parallelism
     )
 
@@ -73,7 +74,10 @@ def two_stage_training(
         "selected_features": best["features"],
         "feature_groups": groups,
     }
-    return TrainingRun(model, best["features"], reference, record)
+    trials = first_trials.withColumn("stage", F.lit(1)).unionByName(
+        second_trials.withColumn("stage", F.lit(2)), allowMissingColumns=True
+    )
+    return TrainingRun(model, best["features"], reference, record, trials)
 
 
 RECORD_SCHEMA = (
@@ -85,8 +89,9 @@ RECORD_SCHEMA = (
 
 
 def save_run(spark: SparkSession, run: TrainingRun, root: str, run_id: str, created_at) -> None:
-    """Model, reference data and one registry record."""
+    """Model, reference data, trials and one registry record."""
     model_path, reference_path = f"{root}/models/{run_id}", f"{root}/reference/{run_id}"
+    run.trials.write.mode("overwrite").parquet(f"{root}/trials/{run_id}")
     run.model.write().overwrite().save(model_path)
     run.reference.drop("split").write.mode("overwrite").parquet(reference_path)
     record = {
