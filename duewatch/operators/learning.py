@@ -75,15 +75,18 @@ def encoded(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFr
     return typed.withColumns(coded).select(*[F.col(f"`{name}`") for name in df.columns])
 
 
-def stratified_folds(df: DataFrame, folds: int, label: str = "label", seed: int = 42, bucket_bits: int = 12) -> DataFrame:
+def stratified_folds(df: DataFrame, folds: int, label: str = "label", seed: int = 42, bucket_rows: int = 4096) -> DataFrame:
     """Adds ``fold``: a shuffled numbering of the rows of each label, modulo ``folds``.
 
     Fold sizes of a label differ by at most one row. Rows get a drawn number from
     a hash of their staged position, so copies of a row spread like any others.
     The leading bits of that number cut each label into even buckets which are
-    numbered separately; the bucket sizes give the offset of each bucket.
+    numbered separately; the bucket sizes give the offset of each bucket. There
+    are as many buckets as keep them near ``bucket_rows`` rows, which does not
+    change the numbering.
     """
     rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "fold-rows")
+    bucket_bits = max(1, math.ceil(math.log2(max(1.0, rows.count() / bucket_rows))))
     drawn = F.xxhash64(F.col("_row"), F.lit(seed))
     rows = rows.withColumn("_draw", drawn).withColumn("_bucket", F.shiftrightunsigned("_draw", 64 - bucket_bits))
     sizes = rows.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
