@@ -26,7 +26,7 @@ def odd_docs(spark):
     rows += [(500, None, None, None, None, None, None), (None, texts[0], "en", "s0", 3, 1, "x"), rows[7], rows[7]]
     return spark.createDataFrame(
         rows, "doc_id long, text string, lang string, source string, n_chars long, id int, block string"
-    ).withColumnsRenamed({}).selectExpr("*", "block as `row`", "id as `key`", "id as `kept_id`")
+    ).selectExpr("*", "block as `row`", "id as `key`", "id as `kept_id`")
 
 
 @pytest.fixture(scope="session")
