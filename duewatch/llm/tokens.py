@@ -7,13 +7,14 @@ import re
 
 import numpy as np
 
-CACHED_WORDS = 300_000  # a worker's tables are emptied beyond this; they are only a cache
+CACHED_WORDS = 400_000  # a worker's tables are emptied beyond this; they are only a cache
 LONGEST = 64  # words beyond this are encoded anew each time
 
 # A cut before a space that follows another character is always a cut between pre-tokens. Python's \s covers
 # every character that the tokenizer may take for white space, so no run of white space is ever cut.
 CUT = re.compile(r"(?<=\S)(?= )")
 RUN = re.compile(r"\s ")
+SPACE = "Ġ"  # fixed value: how byte-level pre-tokens write a space
 
 
 class ByteLevelIds:
@@ -28,7 +29,7 @@ class ByteLevelIds:
         parts = repr(self.tokenizer.pre_tokenizer)
         self.by_word = parts.startswith("ByteLevel") and "use_regex=True" in parts and self.tokenizer.normalizer is None
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -46,25 +47,39 @@ class ByteLevelIds:
         words = self.words
         if len(words) > CACHED_WORDS:
             words.clear()
+        if len(self.pieces) > CACHED_WORDS:
             self.pieces.clear()
         try:
             return self.encode(first) + b"".join(map(words.__getitem__, rest))
         except KeyError:
             missing = {word for word in rest if word not in words}
-            long = {word for word in missing if len(word) > LONGEST}
-            for word in missing - long:
-                words[word] = self.encode(" " + word)
-            own = {word: self.encode(" " + word) for word in long}
-            return self.encode(first) + b"".join([own[w] if w in own else words[w] for w in rest])
+            found = dict(self.encoded(list(missing)))
+            words.update((word, ids) for word, ids in found.items() if len(word) <= LONGEST)
+            return self.encode(first) + b"".join([found[w] if w in found else words[w] for w in rest])
+
+    def encoded(self, missing: list[str]):
+        """Words with the ids they have behind a space. Words without white space are pre-tokenized together: the pre-token
+        with the space, written as the mark, begins a word."""
+        plain = [word for word in missing if word.split() == [word]]
+        yield from ((word, self.encode(" " + word)) for word in missing if word.split() != [word])
+        for start in range(0, len(plain), 1024):
+            batch = plain[start : start + 1024]
+            ids: list[list[bytes]] = []
+            for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + " ".join(batch)):
+                if piece[0] == SPACE:
+                    ids.append([])
+                ids[-1].append(self.pieces.get(piece) or self.piece(piece))
+            assert len(ids) == len(batch)
+            yield from zip(batch, map(b"".join, ids))
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of a pre-token by the tokenizer's model, once for each distinct one."""
+        found = np.array([token.id for token in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+        if len(piece) <= LONGEST:
+            self.pieces[piece] = found
+        return found
 
     def encode(self, chunk: str) -> bytes:
-        """One chunk by the tokenizer's own pre-tokenizer and model; each distinct pre-token passes the model once."""
-        ids: list[int] = []
-        for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk):
-            found = self.pieces.get(piece)
-            if found is None:
-                found = [token.id for token in self.tokenizer.model.tokenize(piece)]
-                if len(piece) <= LONGEST:
-                    self.pieces[piece] = found
-            ids += found
-        return np.array(ids, "<u4").tobytes()
+        """One chunk by the tokenizer's own pre-tokenizer and model."""
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)
+        return b"".join([self.pieces.get(piece) or self.piece(piece) for piece, _ in pieces])
