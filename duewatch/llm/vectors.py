@@ -1,21 +1,20 @@
 """Near duplicates among embeddings: spherical k-means cells and blocked cosine products within them.
 
-Vectors that are equal in every component are one class. Centres are fitted on a
-bounded sample; every class then has a home cell, the nearest centre's. It is
-also sent, as a guest, to each lower-numbered cell whose centre is at most
-``margin`` less similar, so that a pair whose homes differ meets once, in the
-lower one. The margin is four standard deviations of what a pair at the threshold
-can differ by in a random direction, and at most what it can differ by at all;
-recall against brute force is measured in the tests.
+Vectors that are equal in every component are one class. Each vector length has
+cells of its own. Centres are fitted on a bounded sample; every class then has a
+home cell, the nearest centre's. It is also sent, as a guest, to each
+lower-numbered cell that can be the home of a partner, so that a pair whose homes
+differ meets once, in the lower one, and no pair is lost. A partner y of x lies
+within sqrt(2 - 2 * threshold). With x at home in i and y in j, (x - y).(c_i - c_j)
+is at least x.c_i - x.c_j, hence that is at most this distance times |c_i - c_j|.
 
 Within a cell, homes are compared with homes and guests by products of bounded
 blocks (see ``blocks``), in double precision. A product of blocks gives, per
 vector, its number of links and the least vector it is connected to in there;
 pairs are no rows. Components are then joined in Spark.
 
-Vectors that are null, zero, hold null or non-finite components, or have another
-length than most, link with nothing; so do rows without an id, which have no
-component and are kept. Repeated rows are equal vectors and link with each other.
+Vectors that are null, zero, or hold null or non-finite components link with
+nothing; so do rows without an id, which have no component and are kept. Repeated rows are equal vectors and link with each other.
 """
 
 from __future__ import annotations
@@ -28,39 +27,56 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duewatch.llm.blocks import block_counts, blocked, paired
+from duewatch.llm.blocks import blocked, paired
 from duewatch.llm.components import connected_components
 from duewatch.llm.scratch import Scratch
 
 THRESHOLD = 0.95
-CELL = 256  # classes per cell aimed at
+CELL = 2048  # classes per cell aimed at
 MOST_CELLS = 1024  # bounds the centres every task gets
 SAMPLE = 8192  # classes the centres are fitted on, the first in the order of their hash
 ROUNDS = 10
-BLOCK = 256
-DEVIATIONS = 4.0
-
-
-def _prepared(batches):
-    for batch in batches:
-        keys, sizes, data = [], [], []
-        for values in batch.column("vector").to_pylist():
-            own = np.array(values, np.float64) if values and None not in values else np.empty(0)
-            norm = float(np.sqrt(own @ own)) if len(own) and np.isfinite(own).all() else 0.0
-            if not norm or not math.isfinite(norm):
-                scale = np.abs(own).max(initial=0.0) if len(own) and np.isfinite(own).all() else 0.0
-                own = own / scale if scale else own[:0]
-                norm = float(np.sqrt(own @ own))
-            if not norm:
-                keys.append(None), sizes.append(None), data.append(None)
-                continue
-            keys.append(xxhash.xxh3_64_intdigest((own + 0.0).tobytes()) - (1 << 63))
-            sizes.append(len(own))
-            data.append((own / norm).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(data, pa.binary())],
-            names=["id", "key", "size", "unit"],
-        )
+BLOCK = 1024
+BLOCK_BYTES = 1 << 19  # bounds the blocks of long vectors
+SLACK = 1e-9  # for rounding
+
+
+def _units(column, rows: int, narrow: bool) -> np.ndarray:
+    """Unit vectors in double precision. ``narrow``: the column holds single-precision vectors of any length."""
+    values = np.frombuffer(b"".join(column.to_pylist()), np.float32 if narrow else np.float64).reshape(rows, -1)
+    if narrow:
+        values = values.astype(np.float64)
+        values /= np.sqrt(np.einsum("ij,ij->i", values, values))[:, None]
+    return values
+
+
+def _prepared(narrow: bool):
+    def run(batches):
+        for batch in batches:
+            yield _prepared_batch(batch, narrow)
+
+    return run
+
+
+def _prepared_batch(batch: pa.RecordBatch, narrow: bool) -> pa.RecordBatch:
+    keys, sizes, data = [], [], []
+    for values in batch.column("vector").to_pylist():
+        own = np.array(values, np.float64) if values and None not in values else np.empty(0)
+        norm = float(np.sqrt(own @ own)) if len(own) and np.isfinite(own).all() else 0.0
+        if not norm or not math.isfinite(norm):
+            scale = np.abs(own).max(initial=0.0) if len(own) and np.isfinite(own).all() else 0.0
+            own = own / scale if scale else own[:0]
+            norm = float(np.sqrt(own @ own))
+        if not norm:
+            keys.append(None), sizes.append(None), data.append(None)
+            continue
+        keys.append(xxhash.xxh3_64_intdigest((own + 0.0).tobytes()) - (1 << 63))
+        sizes.append(len(own))
+        data.append((own.astype(np.float32) if narrow else own / norm).tobytes())
+    return pa.RecordBatch.from_arrays(
+        [batch.column("id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(data, pa.binary())],
+        names=["id", "key", "size", "unit"],
+    )
 
 
 def spherical_centres(units: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -77,39 +93,59 @@ def spherical_centres(units: np.ndarray, cells: int, rounds: int = ROUNDS) -> np
     return centres
 
 
-def margin_of(threshold: float, dimensions: int) -> float:
-    """How much less similar to a centre than its own a vector may be and still have a partner at home there."""
-    apart = math.sqrt(max(0.0, 2 - 2 * threshold))
-    return min(2 * apart, DEVIATIONS * apart * math.sqrt(2) / math.sqrt(dimensions))
+def _fitted(narrow: bool):
+    """Centres of one vector length from its sample."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("draw", "ascending"), ("key", "ascending")]).slice(0, SAMPLE)
+        units = _units(table.column("unit"), table.num_rows, narrow)
+        centres = spherical_centres(units, min(table.column("cells")[0].as_py(), len(units)))
+        return pa.table({"size": table.column("size").slice(0, 1), "centres": pa.array([centres.tobytes()], pa.binary())})
 
+    return run
+
+
+def guests_of(near: np.ndarray, home: np.ndarray, apart: np.ndarray, threshold: float) -> np.ndarray:
+    """Which lower cells (columns) can be the home of a partner of each row. ``apart``: distances between centres."""
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
+    best = near[np.arange(len(home)), home]
+    return (best[:, None] - near <= reach * apart[home] + SLACK) & (np.arange(near.shape[1]) < home[:, None])
+
+
+def _dealt(centres: dict[int, tuple[int, np.ndarray]], threshold: float, narrow: bool):
+    """``centres``: of each vector length, the number of its first cell and its centres."""
 
-def _dealt(centres: np.ndarray, margin: float):
     def run(batches):
+        apart = {
+            size: np.sqrt(np.maximum(0, 2 - 2 * np.clip(own @ own.T, -1, 1))) + SLACK for size, (_, own) in centres.items()
+        }
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            units = np.frombuffer(b"".join(batch.column("unit").to_pylist())).reshape(batch.num_rows, -1)
-            near = units @ centres.T
-            home = near.argmax(axis=1)
-            best = near[np.arange(len(home)), home]
-            sent = near >= best[:, None] - margin
-            sent &= np.arange(len(centres)) <= home[:, None]
-            rows, cells = np.nonzero(sent)
-            taken = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cells.astype(np.int32)), pa.array(cells == home[rows]), *taken.columns],
-                names=["cell", "home", *batch.schema.names],
-            )
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                first, own = centres[int(size)]
+                units = _units(part.column("unit"), part.num_rows, narrow)
+                near = units @ own.T
+                home = near.argmax(axis=1)
+                sent = guests_of(near, home, apart[int(size)], threshold)
+                sent[np.arange(len(home)), home] = True
+                rows, cells = np.nonzero(sent)
+                for start in range(0, len(rows), 8192):
+                    place, cell = rows[start : start + 8192], cells[start : start + 8192]
+                    taken = part.take(pa.array(place))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((cell + first).astype(np.int32)), pa.array(cell == home[place]), *taken.columns],
+                        names=["cell", "home", *batch.schema.names],
+                    )
 
     return run
 
 
-def _linked(same: bool, threshold: float):
+def _linked(same: bool, threshold: float, narrow: bool):
     """For each vector with links in a pair of blocks: their number, copies counted, and the least class it reaches."""
 
     def side(rows):
-        units = np.frombuffer(b"".join(rows.field("unit").to_pylist())).reshape(len(rows), -1)
-        return rows.field("key").to_numpy(), rows.field("n").to_numpy(), units
+        return rows.field("key").to_numpy(), rows.field("n").to_numpy(), _units(rows.field("unit"), len(rows), narrow)
 
     def run(batches):
         for batch in batches:
@@ -144,6 +180,30 @@ def _linked(same: bool, threshold: float):
     return run
 
 
+def _centres(classes: DataFrame, narrow: bool) -> dict[int, tuple[int, np.ndarray]]:
+    """Of each vector length, the number of its first cell and its centres."""
+    draws = 1 << 30
+    counts = classes.groupBy("size").agg(F.count(F.lit(1)).alias("total"))
+    sample = (
+        classes.withColumn("draw", F.pmod(F.xxhash64("key"), F.lit(draws))).join(F.broadcast(counts), "size")
+        .filter(F.col("draw") * F.col("total") <= 2 * SAMPLE * draws)
+        .withColumn("cells", F.greatest(F.lit(1), F.least(F.lit(MOST_CELLS), F.floor(F.col("total") / CELL))).cast("int"))
+        .select("size", "key", "draw", "unit", "cells")
+    )
+    found, first = {}, 0
+    for row in sample.groupBy("size").applyInArrow(_fitted(narrow), "size int, centres binary").orderBy("size").collect():
+        own = np.frombuffer(row["centres"]).reshape(-1, row["size"])
+        found[row["size"]] = first, own
+        first += len(own)
+    return found
+
+
+def _block_counts(rows: DataFrame) -> DataFrame:
+    """Blocks of each cell: of BLOCK vectors, fewer where they are long."""
+    held = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.first("size")))))
+    return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / held).cast("int").alias("blocks"))
+
+
 def similar_vectors(
     rows: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -153,38 +213,28 @@ def similar_vectors(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector_column}`").cast("array<double>").alias("vector")
     )
     id_type = source.schema["id"].dataType.simpleString()
-    vectors = scratch.put(source.mapInArrow(_prepared, f"id {id_type}, key long, size int, unit binary"), "vectors")
-    usual = (
-        vectors.filter("size is not null and id is not null").groupBy("size").count().orderBy(F.desc("count"), "size").head()
-    )
-    size = usual["size"] if usual else 0
+    narrow = rows.schema[vector_column].dataType.simpleString() == "array<float>"
+    vectors = scratch.put(source.mapInArrow(_prepared(narrow), f"id {id_type}, key long, size int, unit binary"), "vectors")
     classes = scratch.put(
-        vectors.filter((F.col("size") == size) & F.col("id").isNotNull()).groupBy("key").agg(
+        vectors.filter(F.col("size").isNotNull() & F.col("id").isNotNull()).groupBy("size", "key").agg(
             F.min("id").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit")
         ),
         "classes",
     )
-    total = classes.count()
-    cells = max(1, min(MOST_CELLS, total // CELL))
-    sample = classes.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("unit").toPandas()["unit"]
-    centres = np.zeros((1, max(size, 1)))
-    if len(sample):
-        centres = spherical_centres(np.frombuffer(b"".join(sample)).reshape(len(sample), -1), min(cells, len(sample)))
-
     dealt = scratch.put(
-        classes.select("key", "n", "unit").mapInArrow(
-            _dealt(centres, margin_of(threshold, max(size, 1))), "cell int, home boolean, key long, n long, unit binary"
+        classes.select("size", "key", "n", "unit").mapInArrow(
+            _dealt(_centres(classes, narrow), threshold, narrow), "cell int, home boolean, size int, key long, n long, unit binary"
         ),
         "cells",
     )
     homes, guests = dealt.filter("home"), dealt.filter("not home")
     columns = ["key", "n", "unit"]
-    home_lists = scratch.put(blocked(homes, "cell", "key", columns, BLOCK, block_counts(homes, "cell", BLOCK)), "homes")
-    guest_lists = scratch.put(blocked(guests, "cell", "key", columns, BLOCK, block_counts(guests, "cell", BLOCK)), "guests")
+    home_lists = scratch.put(blocked(homes, "cell", "key", columns, BLOCK, _block_counts(homes)), "homes")
+    guest_lists = scratch.put(blocked(guests, "cell", "key", columns, BLOCK, _block_counts(guests)), "guests")
     found = "key long, links long, root long"
     linked = scratch.put(
-        paired(home_lists, home_lists, "cell", same=True).mapInArrow(_linked(True, threshold), found).unionByName(
-            paired(home_lists, guest_lists, "cell", same=False).mapInArrow(_linked(False, threshold), found)
+        paired(home_lists, home_lists, "cell", same=True).mapInArrow(_linked(True, threshold, narrow), found).unionByName(
+            paired(home_lists, guest_lists, "cell", same=False).mapInArrow(_linked(False, threshold, narrow), found)
         ),
         "linked",
     )

@@ -153,6 +153,31 @@ def test_similar_vectors_against_brute_force(spark):
     assert vectors.similar_vectors(table.limit(0)).count() == 0
 
 
+def test_no_pair_of_similar_vectors_is_lost(spark, monkeypatch):
+    """Vectors in a few dimensions of many, partners just above the threshold, and two lengths."""
+    monkeypatch.setattr(vectors, "CELL", 40)
+    rng = np.random.default_rng(2)
+    rows, expected = [], {}
+    for size, rank, count in ((256, 6, 1500), (16, 16, 300)):
+        flat = np.linalg.qr(rng.normal(size=(size, rank)))[0]
+        base = rng.normal(size=(count, rank))
+        base /= np.linalg.norm(base, axis=1)[:, None]
+        side = rng.normal(size=(count, rank))
+        side -= (side * base).sum(axis=1)[:, None] * base
+        side /= np.linalg.norm(side, axis=1)[:, None]
+        alike = rng.uniform(0.951, 0.96, count)[:, None]
+        units = np.concatenate([base, alike * base + np.sqrt(1 - alike**2) * side]) @ flat.T
+        links = (units @ units.T >= 0.95).sum(axis=1) - 1
+        for v, n in zip(units, links):
+            expected[len(rows)] = n
+            rows.append((len(rows), v.tolist()))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in vectors.similar_vectors(table).collect()}
+    assert found == expected
+    narrow = table.filter("size(embedding) = 16").withColumn("embedding", F.col("embedding").cast("array<float>"))
+    assert {r.vec_id: r.n_links for r in vectors.similar_vectors(narrow).collect()}.items() <= expected.items()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
 <header><h2>Site</h2></header><nav><ul><li>Menu<li>More</ul></nav><div class="ad">Buy</div>
 <article><header><h1>Head &amp;  line</h1></header><p><b>First<br><p>Second &lt;x&gt;\n line</p><aside>Side</aside>
