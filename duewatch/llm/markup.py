@@ -53,6 +53,8 @@ class Element:
     role: str = ""
     children: list[Element | str] = field(default_factory=list)
     digest: int = 0
+    text: int = 0  # sum of the hashes of its texts
+    n_words: int = 0
 
 
 def parsed(text: str) -> Element:
@@ -125,6 +127,7 @@ def _end_open(stack: list[Element], tag: str) -> None:
 
 def digested(element: Element) -> None:
     """Sets the digest of every subtree: its tag, labels, words and children. Links and numbers of pages do not count.
+    Also its texts and words, without furniture.
 
     Children come before parents, without recursion, since pages may nest deeply.
     """
@@ -135,11 +138,17 @@ def digested(element: Element) -> None:
         waiting.extend(child for child in node.children if not isinstance(child, str))
     for node in reversed(order):
         parts = [node.tag, " ".join(sorted(node.words)), node.role]
+        node.text = node.n_words = 0
         for child in node.children:
             if not isinstance(child, str):
                 parts.append(str(child.digest))
-            elif words := " ".join(child.split()):
-                parts.append(words)
+                if not is_furniture(child, True):
+                    node.text += child.text
+                    node.n_words += child.n_words
+            elif words := child.split():
+                parts.append(" ".join(words))
+                node.text += xxhash.xxh3_64_intdigest(parts[-1].encode("utf-8", "surrogatepass"))
+                node.n_words += len(words)
         node.digest = xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
@@ -183,35 +192,51 @@ def main_part(root: Element) -> Element | None:
     return None
 
 
-def subtrees(root: Element, main: Element | None) -> set[int]:
-    """Digests of the elements with content outside the main part; those that hold it do not count."""
-    holding = _ancestors(root, main)
-    digests, waiting = set(), [root]
+def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
+    """The digest of each element with content, and a digest of the texts beside it: those of the main part, else of the page.
+
+    None stands for texts shorter than the element's own, beside which it is no mere template.
+    """
+    scope = main or root
+    found: dict[int, int | None] = {}
+    waiting = [(root, root is scope)]
     while waiting:
-        for child in waiting.pop().children:
-            if not isinstance(child, str) and child is not main:
-                if id(child) not in holding and child.children and child.tag not in ("html", "body", "head"):
-                    digests.add(child.digest)
-                waiting.append(child)
-    return digests
+        node, inside = waiting.pop()
+        for child in node.children:
+            if isinstance(child, str):
+                continue
+            if child is not main and child.children and child.tag not in ("html", "body", "head"):
+                words, text = (child.n_words, child.text) if inside else (0, 0)
+                beside = (scope.text - text) % (1 << 64) - (1 << 63)
+                found[child.digest] = beside if scope.n_words - words >= max(1, child.n_words) else None
+            waiting.append((child, inside or child is main))
+    return found
 
 
-def _ancestors(root: Element, main: Element | None) -> set[int]:
-    if main is None:
-        return set()
-    parents: dict[int, Element] = {}
-    waiting = [root]
+def template_of(part: Element, inside: bool, recurring: set[int]) -> set[int]:
+    """The recurring digests to delete below ``part``: none if more words than stay would go, as in edited copies of a text."""
+    gone, waiting = 0, [(part, False)]
     while waiting:
-        node = waiting.pop()
+        node, linked = waiting.pop()
         for child in node.children:
-            if not isinstance(child, str):
-                parents[id(child)] = node
-                waiting.append(child)
-    holding, node = set(), main
-    while id(node) in parents:
-        node = parents[id(node)]
-        holding.add(id(node))
-    return holding
+            if isinstance(child, str) or is_furniture(child, inside):
+                continue
+            if child.digest not in recurring:
+                waiting.append((child, linked or child.tag == "a"))
+            elif not linked:
+                gone += child.n_words - _linked_words(child)
+    return recurring if 2 * gone <= part.n_words else set()
+
+
+def _linked_words(part: Element) -> int:
+    total, waiting = 0, [part]
+    while waiting:
+        node = waiting.pop()
+        if node.tag == "a":
+            total += node.n_words
+        else:
+            waiting.extend(c for c in node.children if not isinstance(c, str) and not is_furniture(c, True))
+    return total
 
 
 def block_texts(part: Element, inside: bool, deleted: set[int]) -> list[str]:

@@ -1,16 +1,16 @@
 """Main texts of web pages after the removal of each site's template.
 
-Every element subtree outside the main part of a page is hashed, and Spark counts
-per host on how many pages a hash occurs. Subtrees that occur on at least
-``LEAST_PAGES`` pages and ``LEAST_SHARE`` of a host's pages are its template and
-are deleted. Of what is left, the main part (an article or main element, else
-the body) gives the text, without elements that are marked as menus, headers,
-footers, sidebars, notices, adverts, forms or comments. Subtrees within a marked
-main part are not deleted: copies of an article may fill a host as well as its
-template does.
+Every element subtree is hashed, and Spark counts per host beside how many
+different texts a hash occurs: those of the rest of the main part (an article or
+main element, else the whole page). Subtrees beside at least ``LEAST_PAGES``
+different texts are the host's template and are deleted, within the main part
+too. A text of which most would go that way is an edited copy, and nothing of it
+is deleted. Exact copies of a page are one text, however many there are. What is
+left gives the text, without elements that are marked as menus, headers, footers,
+sidebars, notices, adverts, forms or comments.
 
-Counts are summed in every task before the shuffle, so a host with a third of
-all pages adds one row per hash and task. A page finds its template subtrees by a
+Equal rows are dropped in every task before the shuffle, and counted by (host,
+hash, text), so a host with a third of all pages spreads over all tasks. A page finds its template subtrees by a
 join on (host, hash).
 
 Pages without html have an empty text. Pages without a url form one host. Rows
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duewatch.llm.markup import block_texts, digested, main_part, parsed, subtrees
+from duewatch.llm.markup import block_texts, digested, main_part, parsed, subtrees, template_of
 from duewatch.llm.scratch import Scratch
 
 LEAST_PAGES = 3
@@ -32,17 +32,19 @@ LEAST_SHARE = 0.3
 
 def _subtrees(batches):
     for batch in batches:
-        pages, digests = [], []
+        pages, digests, beside = [], [], []
         for place, text in enumerate(batch.column("html").to_pylist()):
             root = parsed(text or "")
             digested(root)
             own = subtrees(root, main_part(root))
             pages.extend([place] * len(own))
             digests.extend(own)
+            beside.extend(own.values())
         taken = pa.array(pages, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key").take(taken), batch.column("host").take(taken), pa.array(digests, pa.int64())],
-            names=["key", "host", "digest"],
+            [batch.column("key").take(taken), batch.column("host").take(taken), pa.array(digests, pa.int64()),
+             pa.array(beside, pa.int64())],
+            names=["key", "host", "digest", "beside"],
         )
 
 
@@ -52,9 +54,10 @@ def _texts(batches):
         for text, deleted in zip(batch.column("html").to_pylist(), batch.column("deleted").to_pylist()):
             root = parsed(text or "")
             main = main_part(root)
-            if main is None:
+            own = set(deleted or ())
+            if own:
                 digested(root)
-            own = set(deleted or ()) if main is None else set()
+                own = template_of(main or root, main is not None, own)
             texts.append("\n\n".join(block_texts(main or root, main is not None, own)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -74,11 +77,12 @@ def main_texts(
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     keyed = source.withColumn("host", host).withColumn("key", F.xxhash64("page_id", "url", "html"))
     found = scratch.put(
-        keyed.select("key", "host", "html").mapInArrow(_subtrees, "key long, host string, digest long"), "subtrees"
+        keyed.select("key", "host", "html").mapInArrow(_subtrees, "key long, host string, digest long, beside long"), "subtrees"
     )
     totals = keyed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = (
-        found.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
+        found.filter("beside is not null").select("host", "digest", "beside").distinct()
+        .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
         .join(totals, "host").filter(F.col("n") >= F.col("pages") * least_share).select("host", "digest")
     )
     deleted = scratch.put(

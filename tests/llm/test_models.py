@@ -203,6 +203,25 @@ def test_site_templates_are_deleted(spark):
     assert pages.main_texts(table.limit(0)).count() == 0
 
 
+def page_texts(spark, pages_of):
+    rows = [(i, f"http://host.example/{i}", page) for i, page in enumerate(pages_of)]
+    found = pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.page_id)]
+
+
+def test_recurring_boxes_inside_an_article_are_deleted_and_copies_stay(spark):
+    box = "<div class='x1'><p>Get our letter every week</p></div>"
+    rng = random.Random(3)
+    bodies = [[prose(rng, 30) for _ in range(4)] for _ in range(5)]
+    edited = [[*bodies[0][:3], prose(rng, 30)] for _ in range(5)]
+    every = bodies + [bodies[1]] * 6 + edited
+    found = page_texts(
+        spark, [f"<body><article><p>{b[0]}</p><p>{b[1]}</p>{box}<p>{b[2]}</p><p>{b[3]}</p></article>" for b in every]
+    )
+    assert all("letter" not in found[i] for i in range(1, 11))
+    assert all(p in text for b, text in zip(every, found) for p in b)
+
+
 def test_deeply_nested_and_broken_pages():
     deep = markup.parsed("<div>" * 5000 + "x" + "</span>" * 10)
     markup.digested(deep)
