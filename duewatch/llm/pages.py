@@ -3,8 +3,8 @@
 Every element subtree is hashed, and Spark counts per host beside how many
 different texts a hash occurs: those of the rest of the main part (an article or
 main element, else the whole page). Subtrees beside at least ``LEAST_PAGES``
-different texts are the host's template and are deleted, within the main part
-too. A text of which most would go that way is an edited copy, and nothing of it
+different texts, whatever share of a host's pages that is, are its template and
+are deleted, within the main part too. A text of which most would go that way is an edited copy, and nothing of it
 is deleted. Exact copies of a page are one text, however many there are. What is
 left gives the text, without elements that are marked as menus, headers, footers,
 sidebars, notices, adverts, forms or comments.
@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 from duewatch.llm.markup import block_texts, digested, main_part, parsed, subtrees, template_of
 from duewatch.llm.scratch import Scratch
 
-LEAST_PAGES = 3
-LEAST_SHARE = 0.3
+LEAST_PAGES = 3  # with different texts
 
 
 def _subtrees(batches):
@@ -66,7 +65,7 @@ def _texts(batches):
 
 def main_texts(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
-    least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE,
+    least_pages: int = LEAST_PAGES,
 ) -> DataFrame:
     """One row per page: id, url, text and n_chars."""
     scratch = Scratch(pages.sparkSession)
@@ -79,11 +78,10 @@ def main_texts(
     found = scratch.put(
         keyed.select("key", "host", "html").mapInArrow(_subtrees, "key long, host string, digest long, beside long"), "subtrees"
     )
-    totals = keyed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = (
         found.filter("beside is not null").select("host", "digest", "beside").distinct()
         .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-        .join(totals, "host").filter(F.col("n") >= F.col("pages") * least_share).select("host", "digest")
+        .select("host", "digest")
     )
     deleted = scratch.put(
         found.join(template, ["host", "digest"]).groupBy("key").agg(F.collect_set("digest").alias("deleted")), "deleted"

@@ -222,6 +222,18 @@ def test_recurring_boxes_inside_an_article_are_deleted_and_copies_stay(spark):
     assert all(p in text for b, text in zip(every, found) for p in b)
 
 
+def test_templates_are_counted_on_different_pages(spark):
+    """Without article or main: copies are no template, and a section's menu on a few of many pages is one."""
+    rng = random.Random(8)
+    frame = "<body><div>{0}</div><div><p>{1}</p><p>{2}</p></div></body>"
+    bodies = [(prose(rng, 20), prose(rng, 20)) for _ in range(40)]
+    every = [("Section menu of sports" if i < 5 else f"Note {i}", *b) for i, b in enumerate(bodies)]
+    every += [("Copied", "one and the same", "text of a copy")] * 25
+    found = page_texts(spark, [frame.format(*row) for row in every])
+    assert all("menu" not in text for text in found)
+    assert all(a in text and b in text for (_, a, b), text in zip(every, found))
+
+
 def test_deeply_nested_and_broken_pages():
     deep = markup.parsed("<div>" * 5000 + "x" + "</span>" * 10)
     markup.digested(deep)
