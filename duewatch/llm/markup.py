@@ -44,6 +44,13 @@ FURNITURE_WORDS = frozenset(
     "subscribe subscription signup login share sharing social related recommended recommendations comment comments reply "
     "replies discussion disqus respond widget masthead toolbar pagination pager".split()
 )
+# Of these, what may as well name a section of an article: inside one, only the host's counts decide.
+SECTION_ROLES = frozenset("note alert".split())
+SECTION_WORDS = frozenset(
+    "navigation menu aside promotion banner consent notice notices notification alert popup modal subscription share sharing "
+    "social related recommended recommendations reply replies discussion respond widget toolbar".split()
+)
+ARTICLE_ROLES, ARTICLE_WORDS = FURNITURE_ROLES - SECTION_ROLES, FURNITURE_WORDS - SECTION_WORDS
 
 
 @dataclass(slots=True)
@@ -55,6 +62,7 @@ class Element:
     digest: int = 0
     text: int = 0  # sum of the hashes of its texts
     n_words: int = 0
+    in_article: bool = False
 
 
 def parsed(text: str) -> Element:
@@ -78,7 +86,7 @@ def parsed(text: str) -> Element:
             continue
         _end_open(stack, tag)
         words, role = _labels(found[3]) if found[3] else (frozenset(), "")
-        element = Element(tag, words, role)
+        element = Element(tag, words, role, in_article=stack[-1].in_article or stack[-1].tag == "article")
         stack[-1].children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(text, at)
@@ -154,11 +162,13 @@ def digested(element: Element) -> None:
 
 def is_furniture(node: Element, inside: bool) -> bool:
     """``inside``: within the main part, where a header belongs to the article."""
-    if node.tag in FURNITURE_TAGS or node.role in FURNITURE_ROLES:
+    if node.tag in FURNITURE_TAGS or node.role in (ARTICLE_ROLES if node.in_article else FURNITURE_ROLES):
         return True
     if node.tag == "header" or "header" in node.words:
         return not inside
-    return node.tag not in ("article", "main", "body", "html") and not FURNITURE_WORDS.isdisjoint(node.words)
+    return node.tag not in ("article", "main", "body", "html") and not (
+        ARTICLE_WORDS if node.in_article else FURNITURE_WORDS
+    ).isdisjoint(node.words)
 
 
 def text_size(node: Element) -> int:
@@ -173,23 +183,58 @@ def text_size(node: Element) -> int:
 
 
 def main_part(root: Element) -> Element | None:
-    """The article with the most text outside furniture, else such a main element; None if a page has neither."""
-    found: dict[str, list[Element]] = {"article": [], "main": []}
+    """The main element or article with the most text outside furniture, an article with the articles beside it; None if a
+    page has neither. A main element without articles counts as one."""
+    found: list[tuple[Element, Element]] = []
     waiting = [(root, False)]
     while waiting:
         node, inside = waiting.pop()
         for child in node.children:
             if isinstance(child, str) or is_furniture(child, inside):
                 continue
-            kind = "main" if child.role == "main" else child.tag
-            if kind in found and FURNITURE_WORDS.isdisjoint(child.words):
-                found[kind].append(child)
-            if kind != "article" or not FURNITURE_WORDS.isdisjoint(child.words):
-                waiting.append((child, inside or kind == "main"))
-    for kind in ("article", "main"):
-        if found[kind]:
-            return max(reversed(found[kind]), key=text_size)
-    return None
+            main, plain = child.tag == "main" or child.role == "main", FURNITURE_WORDS.isdisjoint(child.words)
+            if plain and (main or child.tag == "article"):
+                found.append((child, node))
+            if main or child.tag != "article" or not plain:
+                waiting.append((child, inside or main))
+    articles = {id(child) for child, _ in found if child.tag == "article"}
+    for child, _ in found:
+        if child.tag != "article" and not _holds(child, articles):
+            _count_as_article(child)
+    if not found:
+        return None
+    best, parent = max(reversed(found), key=lambda pair: text_size(pair[0]))
+    beside = [child for child, other in found if other is parent and child.tag == "article"]
+    return Element("#main", children=beside) if best.tag == "article" and len(beside) > 1 else best
+
+
+def _holds(part: Element, wanted: set[int]) -> bool:
+    waiting = [part]
+    while waiting:
+        for child in waiting.pop().children:
+            if not isinstance(child, str):
+                if id(child) in wanted:
+                    return True
+                waiting.append(child)
+    return False
+
+
+def _count_as_article(part: Element) -> None:
+    waiting = [part]
+    while waiting:
+        for child in waiting.pop().children:
+            if not isinstance(child, str):
+                child.in_article = True
+                waiting.append(child)
+
+
+def digested_main(root: Element) -> Element | None:
+    """The main part, with the digests, texts and words of the page set."""
+    main = main_part(root)
+    digested(root)
+    if main and main.tag == "#main":
+        main.text, main.n_words = sum(c.text for c in main.children), sum(c.n_words for c in main.children)
+    return main
 
 
 def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
@@ -198,6 +243,7 @@ def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
     None stands for texts shorter than the element's own, beside which it is no mere template.
     """
     scope = main or root
+    parts = {id(c) for c in main.children} if main and main.tag == "#main" else {id(main)}
     found: dict[int, int | None] = {}
     waiting = [(root, root is scope)]
     while waiting:
@@ -205,11 +251,11 @@ def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
         for child in node.children:
             if isinstance(child, str):
                 continue
-            if child is not main and child.children and child.tag not in ("html", "body", "head"):
+            if id(child) not in parts and child.children and child.tag not in ("html", "body", "head"):
                 words, text = (child.n_words, child.text) if inside else (0, 0)
                 beside = (scope.text - text) % (1 << 64) - (1 << 63)
                 found[child.digest] = beside if scope.n_words - words >= max(1, child.n_words) else None
-            waiting.append((child, inside or child is main))
+            waiting.append((child, inside or id(child) in parts))
     return found
 
 

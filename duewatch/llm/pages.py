@@ -1,13 +1,14 @@
 """Main texts of web pages after the removal of each site's template.
 
 Every element subtree is hashed, and Spark counts per host beside how many
-different texts a hash occurs: those of the rest of the main part (an article or
-main element, else the whole page). Subtrees beside at least ``LEAST_PAGES``
+different texts a hash occurs: those of the rest of the main part (the article,
+with those beside it, or main element with the most text, else the whole page). Subtrees beside at least ``LEAST_PAGES``
 different texts, whatever share of a host's pages that is, are its template and
 are deleted, within the main part too. A text of which most would go that way is an edited copy, and nothing of it
 is deleted. Exact copies of a page are one text, however many there are. What is
 left gives the text, without elements that are marked as menus, headers, footers,
-sidebars, notices, adverts, forms or comments.
+sidebars, notices, adverts, forms or comments. Within an article, labels that may
+name a section of it (see ``markup.SECTION_WORDS``) mark nothing.
 
 Equal rows are dropped in every task before the shuffle, and counted by (host,
 hash, text), so a host with a third of all pages spreads over all tasks. A page finds its template subtrees by a
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duewatch.llm.markup import block_texts, digested, main_part, parsed, subtrees, template_of
+from duewatch.llm.markup import block_texts, digested_main, main_part, parsed, subtrees, template_of
 from duewatch.llm.scratch import Scratch
 
 LEAST_PAGES = 3  # with different texts
@@ -34,8 +35,7 @@ def _subtrees(batches):
         pages, digests, beside = [], [], []
         for place, text in enumerate(batch.column("html").to_pylist()):
             root = parsed(text or "")
-            digested(root)
-            own = subtrees(root, main_part(root))
+            own = subtrees(root, digested_main(root))
             pages.extend([place] * len(own))
             digests.extend(own)
             beside.extend(own.values())
@@ -52,10 +52,9 @@ def _texts(batches):
         texts = []
         for text, deleted in zip(batch.column("html").to_pylist(), batch.column("deleted").to_pylist()):
             root = parsed(text or "")
-            main = main_part(root)
             own = set(deleted or ())
+            main = digested_main(root) if own else main_part(root)
             if own:
-                digested(root)
                 own = template_of(main or root, main is not None, own)
             texts.append("\n\n".join(block_texts(main or root, main is not None, own)))
         yield pa.RecordBatch.from_arrays(

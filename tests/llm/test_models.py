@@ -234,6 +234,20 @@ def test_templates_are_counted_on_different_pages(spark):
     assert all(a in text and b in text for (_, a, b), text in zip(every, found))
 
 
+@pytest.mark.parametrize("page, blocks", [
+    ("<main><h1>Head</h1><p>A long text of the page</p><article class='card'>Teaser</article></main>",
+     ["Head", "A long text of the page", "Teaser"]),
+    ("<div><article>First part</article><article>The second part</article></div>", ["First part", "The second part"]),
+    ("<article><p>Text</p><section id='discussion'><p>We discuss</p></section><p role='note'>Noted</p></article>",
+     ["Text", "We discuss", "Noted"]),
+    ("<main><article>A text</article><div class='related'>Other pages</div></main>", ["A text"]),
+    ("<main><p>A text</p><div class='related'>Related work</div><div class='ads'>Buy</div></main>", ["A text", "Related work"]),
+])
+def test_whole_main_part(page, blocks):
+    root = markup.parsed(page)
+    assert markup.block_texts(markup.main_part(root), True, set()) == blocks
+
+
 def test_deeply_nested_and_broken_pages():
     deep = markup.parsed("<div>" * 5000 + "x" + "</span>" * 10)
     markup.digested(deep)
