@@ -8,7 +8,8 @@ clean. Subsequence features with gaps make unseen spellings of an insult, with
 other endings, missing or inserted characters, score like the ones seen.
 
 A document's raw score is its highest word score, turned into a probability by a
-logistic fit on the training documents. Words are cut as [^\\x20\\x09-\\x0D]+,
+logistic fit on the training documents, each weighted by the labelled documents it
+stands for, so that probabilities mean the same at every size. Words are cut as [^\\x20\\x09-\\x0D]+,
 lower-cased, and read without outer punctuation; a word with signs inside is also
 read without them, and runs of single characters are also read as one word. All
 words of a text are scored, long ones over overlapping pieces.
@@ -202,14 +203,14 @@ class ToxicityModel:
         return scored(text.cast("string"))
 
 
-def logistic(raw: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Newton steps with Platt's softened targets."""
-    ones, zeros = label.sum(), (1 - label).sum()
+def logistic(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Newton steps with Platt's softened targets. ``weight``: the documents that a row stands for."""
+    ones, zeros = (weight * label).sum(), (weight * (1 - label)).sum()
     target = np.where(label == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     x, w = np.stack([raw, np.ones(len(raw))], 1), np.array([1.0, 0.0])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (p - target))
+        step = np.linalg.solve((x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (weight * (p - target)))
         w = w - np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
@@ -252,7 +253,9 @@ def train_toxicity(
     table[np.frombuffer(fitted["numbers"], np.int64)] = np.frombuffer(fitted["weights"], np.float32)
     bias = fitted["bias"]
     raw = sample.select("text", "toxic").mapInArrow(_highest_of(table, bias), "toxic int, raw double").toPandas()
-    slope, offset = logistic(raw["raw"].to_numpy(), raw["toxic"].to_numpy(float))
+    # The sample has another share of toxic documents than the labels where a label is cut.
+    stands_for = {row["toxic"]: max(1.0, row["count"] / most_per_label) for row in ids.groupBy("toxic").count().collect()}
+    slope, offset = logistic(raw["raw"].to_numpy(), raw["toxic"].to_numpy(float), raw["toxic"].map(stands_for).to_numpy(float))
     return ToxicityModel(table, bias, slope, offset)
 
 

@@ -46,6 +46,16 @@ def test_toxicity_on_held_out_documents(insults, odd_docs, no_docs):
     assert toxicity.toxicity_report(no_docs, labels).count() == 0
 
 
+def test_probabilities_do_not_depend_on_the_sample(spark):
+    rows = [(i, "the same few words in another order".split()) for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(w[i % 7 :] + w[: i % 7])) for i, w in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    share = labels.filter(~toxicity.held_out_rows("doc_id", 4, 2)).agg(F.avg("toxic")).head()[0]
+    for most in (30, 6000):
+        model = toxicity.train_toxicity(docs, labels, most_per_label=most)
+        assert docs.select(F.avg(model.score(F.col("text")))).head()[0] == pytest.approx(share, abs=0.02)
+
+
 def test_string_kernel_is_the_sum_over_subsequences():
     def force(s, t):
         def parts(word):
