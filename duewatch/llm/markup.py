@@ -240,7 +240,8 @@ def digested_main(root: Element) -> Element | None:
 def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
     """The digest of each element with content, and a digest of the texts beside it: those of the main part, else of the page.
 
-    None stands for texts shorter than the element's own, beside which it is no mere template.
+    None stands for texts shorter than the element's own, beside which it is no mere template. Headers and titles of the
+    main part belong to it, also where articles share them.
     """
     scope = main or root
     parts = {id(c) for c in main.children} if main and main.tag == "#main" else {id(main)}
@@ -249,7 +250,7 @@ def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
     while waiting:
         node, inside = waiting.pop()
         for child in node.children:
-            if isinstance(child, str):
+            if isinstance(child, str) or inside and main and child.tag in ("h1", "header"):
                 continue
             if id(child) not in parts and child.children and child.tag not in ("html", "body", "head"):
                 words, text = (child.n_words, child.text) if inside else (0, 0)
