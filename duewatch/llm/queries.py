@@ -1,7 +1,8 @@
 """The operators as named queries over the given tables, and SQL for those that SQL can express on whole tables.
 
-No query here has SQL: models, tokenizers, sketches and packings have no SQL form, and the exact parts of the others
-(windows of 35 words, shingle sets) are too slow in SQL on whole tables. They are tested against brute force instead.
+Importance resampling and the secret scan have SQL (``checks``). The others have none: models, tokenizers, sketches and
+packings have no SQL form, and the exact parts of the rest (windows of 35 words, shingle sets) are too slow in SQL on whole
+tables. They are tested against brute force instead.
 """
 
 from __future__ import annotations
@@ -10,13 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from duewatch.llm.checks import CHECKS
 from duewatch.session import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-CHECKS: dict[str, str] = {}
+
+__all__ = ["CHECKS", "QUERIES", "query"]
 
 
 def vocabulary(name: str) -> str:
@@ -119,6 +122,27 @@ def op10_lm_scoring(spark, folder):
     return language_model_scores(table(spark, folder, "documents"))
 
 
+@query
+def op11_cross_tokenizer_alignment(spark, folder):
+    from duewatch.llm.alignment import align_documents
+
+    return align_documents(table(spark, folder, "documents"), vocabulary(TOKENIZER), vocabulary(PIECES), keep=False)
+
+
+@query
+def op12_importance_resampling(spark, folder):
+    from duewatch.llm.resampling import importance_resample
+
+    return importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_secret_scan(spark, folder):
+    from duewatch.llm.secret_scan import scan_secrets
+
+    return scan_secrets(table(spark, folder, "documents"))
+
+
 @query
 def pipeline(spark, folder):
     import corpus_pipeline
