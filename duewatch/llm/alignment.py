@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -105,25 +105,25 @@ class Pieces:
         return [ids if chunk else self.lone for chunk, ids in zip(chunks, found)]
 
 
-def aligned_groups(a_ids, b_ids, a_bytes, b_bytes) -> list[tuple[list[int], list[int]]]:
-    """The ids of both sides between the byte offsets at which both end a token; both must have the same bytes."""
-    a_ends = {end: n for n, end in enumerate(accumulate(len(a_bytes[i]) for i in a_ids), 1)}
-    b_ends = {end: n for n, end in enumerate(accumulate(len(b_bytes[i]) for i in b_ids), 1)}
-    groups, a_from, b_from = [], 0, 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        a_to, b_to = a_ends[end], b_ends[end]
-        groups.append((a_ids[a_from:a_to], b_ids[b_from:b_to]))
-        a_from, b_from = a_to, b_to
-    return groups
+def aligned_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The byte offsets at which both sides end a token, and how many tokens of each side end there or before.
+
+    Each side's ends are put into a dictionary from end to index; the common keys are sorted.
+    """
+    a_index = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    b_index = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
+    common = sorted(a_index.keys() & b_index.keys())
+    places = [np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (a_index, b_index)]
+    return np.array(common, np.int64), *places
 
 
 class Growing:
     """A numpy array that values are appended to."""
 
-    def __init__(self):
-        self.size, self.data = 0, np.empty(1 << 12, np.int64)
+    def __init__(self, *shape: int):
+        self.size, self.data = 0, np.empty((1 << 12, *shape), np.int64)
 
-    def extend(self, values: list[int]) -> None:
+    def extend(self, values: np.ndarray) -> None:
         while self.size + len(values) > len(self.data):
             self.data = np.concatenate([self.data, np.empty_like(self.data)])
         self.data[self.size : self.size + len(values)] = values
@@ -133,19 +133,25 @@ class Growing:
 class AlignedChunks:
     """For each distinct chunk of a task: numbers of ids, groups and links, the groups as text, and its linked pairs.
 
-    A pair is the A id times ``width`` plus the B id. ``failed`` chunks have other bytes than the text.
+    A pair is the A id times ``width`` plus the B id. ``failed`` chunks have other bytes than the text. New chunks are
+    aligned many at a time, laid end to end: both sides end a token at the end of each.
     """
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.width = len(self.b.bytes)
+        self.lengths = [np.array([len(side.get(i, b"")) for i in range(max(side) + 1)]) for side in (self.a.bytes, self.b.bytes)]
+        # An id as text with what stands behind it: A ids within and at the end of their side of a group, then B ids.
+        a, b = len(self.lengths[0]), len(self.lengths[1])
+        self.written = [f"{i}{end}" for ids, ends in ((a, ",|"), (b, ",;")) for end in ends for i in range(ids)]
+        self.starts = (0, a, 2 * a, 2 * a + b)
         self.clear()
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
         self.characters = 0
         self.texts: list[str] = []
-        self.sizes = Growing()  # n_a, n_b, n_groups, n_links, failed, first pair, number of pairs
+        self.sizes = Growing(7)  # n_a, n_b, n_groups, n_links, failed, first pair, number of pairs
         self.pairs, self.times = Growing(), Growing()
 
     def chunks(self, text: str) -> list[str]:
@@ -159,33 +165,80 @@ class AlignedChunks:
             self.clear()
         new = [chunk for chunk in chunks if chunk not in self.places]
         self.characters += sum(map(len, new))
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for chunk, b_ids in zip(some, self.b.encode(some)):
-                self.places[chunk] = len(self.texts)
-                self.add(" " + chunk, b_ids)
-
-    def add(self, text: str, b_ids: list[int]) -> None:
-        data, a_ids = text.encode(), self.a.encode(text)
-        a_bytes, b_bytes = self.a.bytes, self.b.bytes
-        same = b"".join([b_bytes[i] for i in b_ids]) == data and b"".join([a_bytes[i] for i in a_ids]) == data
-        groups = aligned_groups(a_ids, b_ids, a_bytes, b_bytes) if same else []
-        pairs, times, links = [], [], 0
-        for a, b in groups:
-            links += len(a) * len(b)
-            if len(a) * len(b) <= WHOLE_PRODUCT:
-                found = [i * self.width + j for i in a for j in b]
-                pairs += found
-                times += [1] * len(found)
-            else:
-                (i, n), (j, m) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-                pairs += np.add.outer(i * self.width, j).ravel().tolist()
-                times += np.multiply.outer(n, m).ravel().tolist()
-        own = [len(a_ids), len(b_ids), len(groups), links, 0, self.pairs.size, len(pairs)]
-        self.sizes.extend(own if same else [0, 0, 0, 0, 1, self.pairs.size, 0])
+        # Those that end in white space, or are empty, stand at the end of a text: the next one would change their ids.
+        inner = [chunk for chunk in new if chunk and not chunk[-1].isspace()]
+        for start in range(0, len(inner), 4096):
+            some = inner[start : start + 4096]
+            a_ids = self.a.encode(" " + " ".join(some))
+            self.add(some, a_ids, self.b.encode(some))
+        for chunk in new:
+            if not chunk or chunk[-1].isspace():
+                self.add([chunk], self.a.encode(" " + chunk), self.b.encode([chunk]))
+
+    def add(self, chunks: list[str], a_list: list[int], b_lists: list[list[int]]) -> None:
+        """Align new chunks, given A's ids of all of them and B's of each."""
+        encoded = [(" " + chunk).encode() for chunk in chunks]
+        b_list = list(chain.from_iterable(b_lists))
+        sides = [b"".join(map(side.__getitem__, ids)) for side, ids in ((self.a.bytes, a_list), (self.b.bytes, b_list))]
+        failed = any(side != b"".join(encoded) for side in sides)
+        if failed and len(chunks) > 1:
+            half = len(chunks) // 2
+            for part, lists in ((chunks[:half], b_lists[:half]), (chunks[half:], b_lists[half:])):
+                self.add(part, self.a.encode(" " + " ".join(part)), lists)
+            return
+        first = len(self.texts)
+        self.places.update(zip(chunks, range(first, first + len(chunks))))
+        if failed:
+            self.sizes.extend(np.array([[0, 0, 0, 0, 1, self.pairs.size, 0]]))
+            self.texts.append("")
+            return
+        a_ids, b_ids = np.array(a_list, np.int64), np.array(b_list, np.int64)
+        ends, a_to, b_to = aligned_ends(np.cumsum(self.lengths[0][a_ids]), np.cumsum(self.lengths[1][b_ids]))
+        a_from, b_from = (np.concatenate([[0], to[:-1]]) for to in (a_to, b_to))
+        n_a, n_b = a_to - a_from, b_to - b_from
+        # The chunk of each group, and the first group of each chunk.
+        last = np.searchsorted(ends, np.cumsum([len(data) for data in encoded])) + 1
+        groups = np.diff(last, prepend=0)
+        starts = last - groups
+        pairs, times, held = self._links(a_ids, b_ids, a_from, b_from, n_a, n_b)
+        firsts = self.pairs.size + np.concatenate([[0], np.cumsum(held)])
+        sums = [np.add.reduceat(values, starts) for values in (n_a, n_b, n_a * n_b, held)]
+        self.sizes.extend(np.stack(
+            [sums[0], sums[1], groups, sums[2], np.zeros(len(chunks), np.int64), firsts[starts], sums[3]], axis=1
+        ))
         self.pairs.extend(pairs)
         self.times.extend(times)
-        self.texts.append(";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups]))
+        self._write(a_ids, b_ids, a_from, b_from, n_a, n_b, starts, last)
+
+    def _links(self, a_ids, b_ids, a_from, b_from, n_a, n_b):
+        """Pairs of all groups with their number, and the number of pairs of each group."""
+        held = n_a * n_b
+        small = held <= WHOLE_PRODUCT
+        if small.all():
+            group, step = np.repeat(np.arange(len(held)), held), _ranges(np.zeros(len(held), np.int64), held)
+            pairs = a_ids[a_from[group] + step // n_b[group]] * self.width + b_ids[b_from[group] + step % n_b[group]]
+            return pairs, np.ones(len(pairs), np.int64), held
+        parts, counts = [], []
+        for group in range(len(held)):
+            own = [ids[start : start + n] for ids, start, n in ((a_ids, a_from[group], n_a[group]), (b_ids, b_from[group], n_b[group]))]
+            (i, n), (j, m) = (np.unique(side, return_counts=True) for side in own)
+            parts.append(np.add.outer(i * self.width, j).ravel())
+            counts.append(np.multiply.outer(n, m).ravel())
+        return np.concatenate(parts), np.concatenate(counts), np.array([len(part) for part in parts])
+
+    def _write(self, a_ids, b_ids, a_from, b_from, n_a, n_b, starts, last) -> None:
+        """The groups of each chunk as text, each group with a semicolon behind it."""
+        codes = np.empty(len(a_ids) + len(b_ids), np.int64)
+        begin = a_from + b_from
+        for ids, n, at, inside, closing in (
+            (a_ids, n_a, begin, self.starts[0], self.starts[1]), (b_ids, n_b, begin + n_a, self.starts[2], self.starts[3])
+        ):
+            codes[_ranges(at, n)] = ids + inside
+            codes[at + n - 1] += closing - inside
+        words = list(map(self.written.__getitem__, codes.tolist()))
+        bounds = np.append(begin, len(codes))
+        for low, high in zip(bounds[starts].tolist(), bounds[last].tolist()):
+            self.texts.append("".join(words[low:high]))
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -211,7 +264,7 @@ def _aligned(table: AlignedChunks, texts: list[str | None]):
     lengths = np.array([len(s) for s in split], np.int64)
     places = np.fromiter(map(table.places.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
     # A text with a chunk of other bytes is looked at whole, as one chunk that is not kept.
-    sizes = table.sizes.data[: table.sizes.size].reshape(-1, 7)
+    sizes = table.sizes.data[: table.sizes.size]
     owners = np.repeat(np.arange(len(texts)), lengths)
     failed = np.unique(owners[sizes[places, 4] > 0])
     if len(failed):
@@ -219,17 +272,18 @@ def _aligned(table: AlignedChunks, texts: list[str | None]):
         whole = []
         for text in failed:
             whole.append(len(table.texts))
-            table.add(" " + texts[text], table.b.model.encode(texts[text]))
+            table.add([texts[text]], table.a.encode(" " + texts[text]), [table.b.model.encode(texts[text])])
         places, owners = np.concatenate([places[keep], whole]), np.concatenate([owners[keep], failed])
         order = np.argsort(owners, kind="stable")
         places, owners = places[order], owners[order]
         lengths = np.bincount(owners, minlength=len(texts))
-        sizes = table.sizes.data[: table.sizes.size].reshape(-1, 7)
+        sizes = table.sizes.data[: table.sizes.size]
     ends = np.concatenate([[0], np.cumsum(lengths)])
     sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(sizes[places, :4], axis=0)])
     totals = sums[ends[1:]] - sums[ends[:-1]]
     listed, own = table.texts, places.tolist()
-    groups = [";".join(filter(None, map(listed.__getitem__, own[a:b]))) for a, b in zip(ends[:-1], ends[1:])]
+    bounds = ends.tolist()
+    groups = ["".join(map(listed.__getitem__, own[a:b]))[:-1] for a, b in zip(bounds[:-1], bounds[1:])]
     held, times = _counted(owners * len(listed) + places, np.ones(len(places), np.int64))
     owners, places = np.divmod(held, len(listed))
     at = _ranges(sizes[places, 5], sizes[places, 6])
