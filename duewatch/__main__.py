@@ -29,9 +29,9 @@ def options() -> argparse.ArgumentParser:
 
     train = jobs.add_parser("train", help="two-stage training on the split calendar")
     train.add_argument("--run-id", help="name of the run; the time when left out")
-    train.add_argument("--initial-trials", type=int, default=50)
-    train.add_argument("--refine-trials", type=int, default=50)
-    train.add_argument("--folds", type=int, default=5)
+    train.add_argument("--initial-trials", type=int, default=training.DEFAULT_TRIALS)
+    train.add_argument("--refine-trials", type=int, default=training.DEFAULT_TRIALS)
+    train.add_argument("--folds", type=int, default=training.DEFAULT_FOLDS)
     train.add_argument("--trees", type=int, default=DEFAULT_TREES)
 
     score = jobs.add_parser("score", help="score months with the newest or the named run")

@@ -18,11 +18,10 @@ def gold_label(inputs: Inputs) -> DataFrame:
     return inputs.labels()
 
 
-@query("SELECT Customer_ID, snapshot_date, Age, Occupation, Outstanding_Debt, Spend_Level, fe_1, fe_20 FROM gold_joined")
+@query("SELECT * FROM gold_joined")
 def gold_join(inputs: Inputs) -> DataFrame:
-    """The three stored tables, carried forward, joined on customer and month."""
-    joined = features.joined_sources(inputs.silver_attributes(), inputs.silver_financials(), inputs.silver_clicks())
-    return joined.select(*KEYS, "Age", "Occupation", "Outstanding_Debt", "Spend_Level", "fe_1", "fe_20")
+    """All cleaned columns of the three sources as known by each click month; no row is carried to months before the join."""
+    return inputs.joined().drop("Credit_History_Age", "Payment_Behaviour", "Type_of_Loan")
 
 
 def derived(inputs: Inputs, *steps: dict) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duewatch.catalog.inputs import Inputs, rounded
 from duewatch.catalog.registry import query
+from duewatch.catalog.views import ALL_NAMES, feature_sql
 from duewatch.functions.parsing import parsed_age
 from duewatch.operators import labelled, profile
 from duewatch.operators.loans import bad_rate_by_month_on_book, bads_at_installment
@@ -50,14 +51,12 @@ def training_rows(inputs: Inputs) -> DataFrame:
     return labelled.training_set(inputs.labels(), staged(inputs.features(), "feature-store"))
 
 
-@query("SELECT Customer_ID, label, feature_snapshot_date, Age, Outstanding_Debt, fe_1, Click_Total, "
-       "round(Click_Variance, 6) AS Click_Variance, round(Debt_to_Income_Ratio, 6) AS Debt_to_Income_Ratio FROM training_rows",
-       training_rows=TRAINING_SQL)
+@query(f"""SELECT f.Customer_ID, l.label, CAST(strftime(f.snapshot_date, '%Y-%m-%d') AS VARCHAR) AS feature_snapshot_date, f.* EXCLUDE (Customer_ID, snapshot_date)
+FROM gold_labels l JOIN (SELECT Customer_ID, snapshot_date, {feature_sql(ALL_NAMES, filled=True)} FROM gold_joined) f ON f.Customer_ID = l.Customer_ID
+ AND f.snapshot_date = CAST(l.snapshot_date - INTERVAL 6 MONTH AS DATE)""")
 def join_lagged_label(inputs: Inputs) -> DataFrame:
-    return rounded(training_rows(inputs).select(
-        "Customer_ID", "label", "feature_snapshot_date", "Age", "Outstanding_Debt", "fe_1", "Click_Total",
-        "Click_Variance", "Debt_to_Income_Ratio",
-    ))
+    """Labels with all 72 features of six months before."""
+    return rounded(training_rows(inputs))
 
 
 @query("""SELECT s.Customer_ID, s.snapshot_date, round(s.default_probability, 6) AS default_probability, l.label, u.unmatched

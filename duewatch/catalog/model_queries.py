@@ -1,33 +1,61 @@
 """Training, scoring and attribution.
 
-A fitted model has no SQL counterpart, so its queries return what SQL can state of its results: every key, label and
-stamp, and that probabilities, decisions and importances are in order.
+A fitted model has no SQL counterpart, so its queries return what SQL can state of its results: the base margin and the
+gains of first splits, every key, label and stamp, that probabilities and decisions are in order, and that attributions
+add up to margins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duewatch.catalog.inputs import Inputs, rounded
-from duewatch.catalog.label_queries import SPLITS, TRAINING_SQL, split_sql, training_rows
+from duewatch.catalog.label_queries import SPLITS, TRAINING_SQL, split_sql
 from duewatch.catalog.registry import query
-from duewatch.operators import attribution, learning
+from duewatch.operators import attribution, boosting, learning
 from duewatch.operators.features import FULL_FEATURES
-from duewatch.operators.labelled import split_name
+from duewatch.operators.labelled import split_name, training_set
+from duewatch.operators.learning import DEFAULT_TREES
 from duewatch.operators.ranking import roc_auc
 from duewatch.plans.scoring import score_months
-from duewatch.plans.training import two_stage_training
-from duewatch.session import staged
+from duewatch.plans.training import DEFAULT_FOLDS, two_stage_training
+from duewatch.session import fresh_path, staged
 
-# A small search, so that the queries measure the data path rather than the budget.
-TREES, TRIALS, FOLDS = 10, 2, 2
+# A tree is a job per level, so the queries that fit anew grow fewer trees than the model that all others share; the README
+# has the time of a full search.
+TREES, FIT_TREES, SEARCH_TREES, TRIALS = DEFAULT_TREES, 10, 3, 2
 PARAMETERS = {"max_depth": 3, "learning_rate": 0.1}
+TEXT_FEATURES = ["Occupation", "Credit_Mix"]
+# Features whose values all have a bin of their own, so that SQL can state the gain of their best first split.
+FEW_VALUES = ["Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan", "Interest_Rate", "Credit_History_Months", "Spend_Level", "Age_Bucket"]
 
 
-def fitted(inputs: Inputs):
-    rows = staged(training_rows(inputs), "training-rows")
-    return rows, learning.fit_classifier(rows, FULL_FEATURES, PARAMETERS, TREES)
+def feature_table(inputs: Inputs) -> DataFrame:
+    """The model table with its text columns."""
+    return inputs.store().select("Customer_ID", "snapshot_date", *[F.col(f"`{name}`") for name in [*FULL_FEATURES, *TEXT_FEATURES]])
+
+
+def training_rows(inputs: Inputs) -> DataFrame:
+    return training_set(inputs.labels(), staged(feature_table(inputs), "feature-store"))
+
+
+@cache
+def _trained(spark: SparkSession, folder: str, application: str) -> tuple[str, boosting.BoostedTrees]:
+    rows = training_rows(Inputs(spark, folder))
+    path = fresh_path(spark, "training-rows")
+    rows.write.parquet(path)
+    return path, learning.fit_classifier(spark.read.parquet(path), FULL_FEATURES, PARAMETERS, TREES, TEXT_FEATURES)
+
+
+def fitted(inputs: Inputs) -> tuple[DataFrame, boosting.BoostedTrees]:
+    """The training rows and a model fitted on all of them, once for all queries over a folder, as one run serves scoring,
+    evaluation and attribution."""
+    spark = inputs.spark
+    path, model = _trained(spark, inputs.folder, spark.sparkContext.applicationId)
+    return spark.read.parquet(path), model
 
 
 def in_order() -> Column:
@@ -36,13 +64,34 @@ def in_order() -> Column:
     return F.coalesce(score.between(0, 1) & (F.col("prediction") == (score >= 0.5).cast("int")), F.lit(False)).alias("in_order")
 
 
-@query(f"SELECT unnest([{', '.join(repr(name) for name in FULL_FEATURES)}]) AS feature, true AS known, CAST(1.0 AS DOUBLE) AS total")
+def first_gains_sql() -> str:
+    values = " UNION ALL ".join(
+        [f"""SELECT '{name}' AS feature, CAST("{name}" AS DOUBLE) AS number, NULL AS word, label FROM training_rows""" for name in FEW_VALUES]
+        + [f"""SELECT '{name}', NULL, CAST("{name}" AS VARCHAR), label FROM training_rows""" for name in TEXT_FEATURES]
+    )
+    return f"""
+SELECT feature, round(base, 6) AS base, round(max(GL * GL / (HL + 1) + (G - GL) * (G - GL) / (H - HL + 1) - G * G / (H + 1)), 6) AS gain
+FROM (SELECT feature, base, sum(g) OVER (PARTITION BY feature) AS G, sum(h) OVER (PARTITION BY feature) AS H,
+             sum(g) OVER (PARTITION BY feature ORDER BY place, number, word ROWS UNBOUNDED PRECEDING) AS GL,
+             sum(h) OVER (PARTITION BY feature ORDER BY place, number, word ROWS UNBOUNDED PRECEDING) AS HL
+      FROM (SELECT feature, number, word, base, sum(g) AS g, sum(h) AS h, CASE WHEN word IS NULL THEN 0 ELSE sum(g) / (sum(h) + 1) END AS place
+            FROM (SELECT feature, number, word, base, round((p - label) * 16777216) / 16777216 AS g,
+                         round(p * (1 - p) * 16777216) / 16777216 AS h
+                  FROM ({values}) v CROSS JOIN (SELECT ln(p / (1 - p)) AS base, p FROM (SELECT avg(CAST(label AS DOUBLE)) AS p FROM training_rows) a) b) r
+            GROUP BY feature, number, word, base) c) s
+WHERE HL >= 1 AND H - HL >= 1 GROUP BY feature, base"""
+
+
+@query(first_gains_sql(), training_rows=TRAINING_SQL.replace("gold_features", "gold_model"))
 def ml_fit_classifier(inputs: Inputs) -> DataFrame:
-    """Every feature of a model fitted on the whole training set; its importances are known and sum to one."""
-    _, model = fitted(inputs)
-    importances = model.stages[-1].featureImportances.toArray()
-    rows = [(name, bool(value >= 0), round(float(importances.sum()), 6)) for name, value in zip(FULL_FEATURES, importances)]
-    return inputs.spark.createDataFrame(rows, "feature string, known boolean, total double")
+    """The base margin of a model fitted on the whole training set, and the gain of the best first split by each feature."""
+    rows = staged(training_rows(inputs), "training-rows")
+    model = learning.fit_classifier(rows, FULL_FEATURES, PARAMETERS, FIT_TREES, TEXT_FEATURES)
+    gains = boosting.first_gains(model, rows, PARAMETERS)
+    base = F.round(F.lit(model.base), 6).alias("base")
+    return gains.where(F.col("feature").isin(*FEW_VALUES, *TEXT_FEATURES) & F.col("gain").isNotNull()).select(
+        "feature", base, F.round("gain", 6).alias("gain")
+    )
 
 
 @query("""SELECT label, CAST(fold AS INT) AS fold, n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END AS rows
@@ -77,12 +126,19 @@ def ml_cv_metrics(inputs: Inputs) -> DataFrame:
     return rounded(learning.classification_metrics(scores, ["fold"], threshold=0.25))
 
 
-@query()
+COUNT_SQL = "SELECT count(*) AS n FROM training_rows"
+
+
+@query(f"SELECT CAST(t.trial AS INT) AS trial, n AS rows, true AS in_order FROM range({TRIALS}) t(trial) CROSS JOIN counted",
+       training_rows=TRAINING_SQL, counted=COUNT_SQL)
 def ml_random_search(inputs: Inputs) -> DataFrame:
-    """Mean cross-validated metrics per trial."""
+    """Per trial the rows scored by a model that has not seen them; metrics and parameters are within their bounds."""
     rows = staged(training_rows(inputs), "training-rows")
-    _, _, trials = learning.random_search(rows, FULL_FEATURES, TRIALS, FOLDS, trees=TREES)
-    return trials
+    _, best, trials = learning.random_search(rows, FULL_FEATURES, TRIALS, DEFAULT_FOLDS, trees=SEARCH_TREES, categorical=TEXT_FEATURES)
+    fine = F.col("mean_auc").between(0, 1) & (F.col("mean_log_loss") > 0) & (F.col("mean_auc") <= F.lit(best["cv_auc"]))
+    for name, (_, low, high) in learning.SEARCH_SPACE.items():
+        fine &= F.col("parameters")[name].between(low, high)
+    return trials.select("trial", "rows", F.coalesce(fine, F.lit(False)).alias("in_order"))
 
 
 LABEL_MONTH = "CAST(CAST(feature_snapshot_date AS DATE) + INTERVAL 6 MONTH AS DATE)"
@@ -98,10 +154,13 @@ def ml_evaluate_split(inputs: Inputs) -> DataFrame:
     return roc_auc(scored, ["split"]).select("split", "records", F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("has_auc"))
 
 
-@query()
+@query(f"""SELECT unnest([{', '.join(repr(name) for name in [*FULL_FEATURES, *TEXT_FEATURES])}]) AS feature, n AS rows, n AS adds_up, true AS known
+FROM counted""", training_rows=TRAINING_SQL, counted=COUNT_SQL)
 def ml_attribution_totals(inputs: Inputs) -> DataFrame:
+    """Per feature the rows explained, and those whose base value and attributions add up to the margin of the model."""
     rows, model = fitted(inputs)
-    return attribution.attribution_totals(model, rows)
+    totals = attribution.attribution_totals(model, rows)
+    return totals.select("feature", "rows", "adds_up", F.coalesce(F.col("total") >= 0, F.lit(False)).alias("known"))
 
 
 @query("""SELECT f.Customer_ID, f.snapshot_date, l.label_snapshot_month, true AS in_order FROM gold_features f
@@ -110,18 +169,27 @@ LEFT JOIN (SELECT Customer_ID, strftime(max(snapshot_date), '%Y-%m-%d') AS label
 def ml_score(inputs: Inputs) -> DataFrame:
     """Every customer-month of the feature table, scored, with its newest label month."""
     _, model = fitted(inputs)
-    scored = score_months(inputs.features(), model, FULL_FEATURES, inputs.labels())
+    scored = score_months(feature_table(inputs), model, model.features, inputs.labels())
     return scored.select("Customer_ID", "snapshot_date", "label_snapshot_month", in_order())
 
 
-@query()
+@query("SELECT true AS group_known, true AS features_of_group, true AS has_aucs, CAST(0 AS BIGINT) AS rows_dropped, n AS rows FROM counted",
+       training_rows=TRAINING_SQL, counted=f"""SELECT count(*) AS n FROM training_rows WHERE {split_sql(LABEL_MONTH)} <> 'Other'""")
 def ml_two_stage(inputs: Inputs) -> DataFrame:
-    """Record of a two-stage run: AUCs, and the chosen feature set."""
-    run = two_stage_training(training_rows(inputs), SPLITS, initial_trials=TRIALS, refine_trials=TRIALS, folds=FOLDS, trees=TREES)
-    schema = ("stage1_best_auc double, stage2_best_auc double, test_auc double, oot_auc double, "
-              "selected_feature_group string, selected_features array<string>")
-    names = [part.split()[0] for part in schema.split(", ")]
-    return inputs.spark.createDataFrame([tuple(run.record[name] for name in names)], schema)
+    """What the record of a two-stage run must hold: a chosen group among its groups with the group's features, AUCs, all rows
+    scored."""
+    rows = training_rows(inputs)
+    run = two_stage_training(rows, SPLITS, initial_trials=TRIALS, refine_trials=TRIALS, trees=SEARCH_TREES)
+    record, groups = run.record, run.record["feature_groups"]
+    group = record["selected_feature_group"]
+    aucs = [record[name] for name in ("stage1_best_auc", "stage2_best_auc", "test_auc", "oot_auc")]
+    found = (
+        group in groups, record["selected_features"] == groups.get(group), all(a is not None and 0 <= a <= 1 for a in aucs),
+        record["rows_dropped"], run.reference.where(F.col("default_probability").between(0, 1)).count(),
+    )
+    return inputs.spark.createDataFrame(
+        [found], "group_known boolean, features_of_group boolean, has_aucs boolean, rows_dropped long, rows long"
+    )
 
 
 REFERENCE_SQL = "SELECT Customer_ID, label, feature_snapshot_date, true AS in_order FROM training_rows"

@@ -354,6 +354,8 @@ def feature_sql(names: list[str], filled: bool = False, digits: int | None = 6)
 
 ALL_NAMES = [*BASE_NAMES, *LOAN_NAMES, "unseen", *CLICK_FEATURES, *FEATURE_SQL]
 GOLD_FEATURES = f"SELECT Customer_ID, snapshot_date, {feature_sql(ALL_NAMES, filled=True, digits=None)} FROM gold_joined"
+# The same with the text columns that models may use.
+GOLD_MODEL = GOLD_FEATURES.replace("snapshot_date, ", "snapshot_date, Occupation, Credit_Mix, ", 1)
 
 CHECK_VIEWS = {
     "silver_loans": SILVER_LOANS,
@@ -370,6 +372,7 @@ CHECK_VIEWS = {
     "silver_financials": SILVER_FINANCIALS,
     "gold_joined": GOLD_JOINED,
     "gold_features": GOLD_FEATURES,
+    "gold_model": GOLD_MODEL,
 }
 
 GIVEN_TABLES = ["lineitem", "orders", "customer", "events"]

@@ -9,19 +9,23 @@ and o = 1 if the row itself passes them,
 
 because the Shapley weights are the moments of t^s (1 - t)^(d - 1 - s). The
 integrand is a polynomial, so a few Gauss-Legendre points give the exact value.
+
+A condition is a set of bins, whether it came from thresholds or from categories.
+Leaves with equally many features on their path are stacked in one array, so that
+a few array operations cover all leaves of all trees.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from duewatch.session import fresh_path
+from duewatch.operators.boosting import BoostedTrees
 
 # Edges of the cumulative-share bins and the smallest set kept.
 SHARE_EDGES = [0, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9, 1.1]
@@ -29,76 +33,114 @@ SHARE_NAMES = ["0–5%", "5–10%", "10–20%", "20–30%", "30–40%", "40–50
 SMALLEST_SET = 3
 
 
-def leaves(model: PipelineModel, spark) -> list[tuple]:
-    """Every leaf as (value, feature indexes, lower bounds, upper bounds, shares).
+CELLS = 1 << 21  # rows x leaves x features looked at together
 
-    Only tree nodes come to the driver, as many as the model has.
-    """
-    booster = model.stages[-1]
-    path = fresh_path(spark, "model")
-    booster.save(path)
-    nodes = {(row.treeID, row.nodeData.id): row.nodeData for row in spark.read.parquet(f"{path}/data").collect()}
-    found = []
-    for tree, weight in enumerate(booster.treeWeights):
-        open_paths = [(0, {})]
+
+@dataclass(frozen=True)
+class LeafStack:
+    """Leaves with ``d`` features on their path: values (leaves,), features and shares (leaves, d), and for each of these
+    features the bins that pass (leaves, d, bins)."""
+
+    values: np.ndarray
+    used: np.ndarray
+    shares: np.ndarray
+    passing: np.ndarray
+
+
+def leaf_stacks(model: BoostedTrees) -> list[LeafStack]:
+    """All leaves of the model, stacked by the number of features on their path."""
+    width = model.binning.width
+    by_size: dict[int, list] = {}
+    for tree in model.trees:
+        open_paths: list[tuple[int, dict]] = [(0, {})]
         while open_paths:
-            number, conditions = open_paths.pop()
-            node = nodes[(tree, number)]
-            if node.leftChild < 0:
-                used = sorted(conditions)
-                low, high, share = (np.array([conditions[j][k] for j in used], dtype=float) for k in range(3))
-                found.append((node.prediction * weight, np.array(used, dtype=int), low, high, share))
+            node, conditions = open_paths.pop()
+            feature = tree.feature[node]
+            if feature < 0:
+                by_size.setdefault(len(conditions), []).append((tree.value[node], conditions))
                 continue
-            feature, cut = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
-            low, high, share = conditions.get(feature, (-np.inf, np.inf, 1.0))
-            for child, bounds in ((node.leftChild, (low, min(high, cut))), (node.rightChild, (max(low, cut), high))):
-                passing = nodes[(tree, child)].rawCount / node.rawCount
-                open_paths.append((child, {**conditions, feature: (*bounds, share * passing)}))
-    return found
-
-
-def row_attributions(values: np.ndarray, tree_leaves: list[tuple]) -> np.ndarray:
-    """Attributions of a block of rows: one column per feature, base value left out."""
-    result = np.zeros(values.shape)
-    for value, used, low, high, share in tree_leaves:
-        if not len(used):
+            left = np.zeros(width, bool)
+            bins = tree.left_bins[node]
+            left[list(bins) if not isinstance(bins, int) else slice(0, bins + 1)] = True
+            passing, share = conditions.get(feature, (np.ones(width, bool), 1.0))
+            for child, side in ((tree.left[node], left), (tree.right[node], ~left)):
+                part = share * tree.cover[child] / tree.cover[node]
+                open_paths.append((child, {**conditions, feature: (passing & side, part)}))
+    stacks = []
+    for size, found in sorted(by_size.items()):
+        used = [sorted(conditions) for _, conditions in found]
+        stacks.append(LeafStack(
+            np.array([value for value, _ in found]),
+            np.array(used, np.int64).reshape(len(found), size),
+            np.array([[c[f][1] for f in own] for own, (_, c) in zip(used, found)]).reshape(len(found), size),
+            np.array([[c[f][0] for f in own] for own, (_, c) in zip(used, found)], bool).reshape(len(found), size, width),
+        ))
+    return stacks
+
+
+def row_attributions(bins: np.ndarray, stacks: list[LeafStack]) -> np.ndarray:
+    """Attributions of rows given as bin numbers: one column per feature, base value left out."""
+    result = np.zeros(bins.shape)
+    for stack in stacks:
+        leaves, size = stack.used.shape
+        if not size:
             continue
-        cells = values[:, used]
-        passed = ((cells > low) & (cells <= high)).astype(float)
-        points, weights = np.polynomial.legendre.leggauss(len(used) // 2 + 1)
-        for point, weight in zip((points + 1) / 2, weights / 2):
-            factors = share * (1 - point) + passed * point
-            rest = factors.prod(axis=1, keepdims=True) / factors
-            result[:, used] += value * weight * (passed - share) * rest
+        points, weights = np.polynomial.legendre.leggauss(size // 2 + 1)
+        flat = stack.used.ravel()
+        order = np.argsort(flat, kind="stable")
+        firsts = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) > 0]))
+        passing, conditions = stack.passing.reshape(leaves * size, -1), np.arange(leaves * size)
+        step = max(1, CELLS // (leaves * size))
+        for begin in range(0, len(bins), step):
+            own = bins[begin : begin + step]
+            passed = passing[conditions, own[:, flat]].reshape(len(own), leaves, size)
+            total = np.zeros(passed.shape)
+            for point, weight in zip((points + 1) / 2, weights / 2):
+                factors = np.where(passed, stack.shares * (1 - point) + point, stack.shares * (1 - point))
+                total += weight * factors.prod(axis=2, keepdims=True) / factors
+            total *= (passed - stack.shares) * stack.values[:, None]
+            sums = np.add.reduceat(total.reshape(len(own), -1)[:, order], firsts, axis=1)
+            result[begin : begin + step, flat[order][firsts]] += sums
     return result
 
 
-def base_value(tree_leaves: list[tuple]) -> float:
-    return float(sum(value * share.prod() for value, _, _, _, share in tree_leaves))
+def base_value(model: BoostedTrees, stacks: list[LeafStack]) -> float:
+    """The margin of the average training row; with a row's attributions it adds up to the row's margin."""
+    return model.base + float(sum((s.values * s.shares.prod(axis=1)).sum() for s in stacks))
 
 
-def attribution_totals(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Sum of absolute attributions per feature over all rows.
+def attribution_totals(model: BoostedTrees, df: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Per feature: the sum of absolute attributions over all rows, the rows, and for how many of them base value and
+    attributions add up to the margin.
 
     Each task adds up its own rows, so only one number per feature and batch is shuffled.
     """
     spark = df.sparkSession
-    features = model.stages[0].getInputCols()
-    shared = spark.sparkContext.broadcast(leaves(model, spark))
+    shared = spark.sparkContext.broadcast((model, leaf_stacks(model)))
+    names = [f"f{place}" for place in range(len(model.binning.features))]
 
     def partial_sums(batches):
+        model, stacks = shared.value
+        base = base_value(model, stacks)
         for batch in batches:
-            block = np.vstack(batch["features"].to_numpy())
-            sums = np.abs(row_attributions(block, shared.value)).sum(axis=0)
-            yield pd.DataFrame({"place": np.arange(len(sums)), "total": sums})
-
-    assembled = model.stages[0].transform(df).select(vector_to_array("features").alias("features"))
-    names = F.array(*[F.lit(name) for name in features])
+            bins = model.binning.numbered([batch.column(name) for name in names])
+            found = row_attributions(bins, stacks)
+            exact = np.abs(base + found.sum(axis=1) - model.margins(bins)) <= tolerance
+            places = np.array(model.columns)
+            yield pa.RecordBatch.from_pydict({
+                "place": pa.array(places, pa.int32()),
+                "total": pa.array(np.abs(found).sum(axis=0)[places], pa.float64()),
+                "rows": pa.array(np.full(len(places), len(bins)), pa.int64()),
+                "adds_up": pa.array(np.full(len(places), int(exact.sum())), pa.int64()),
+            })
+
+    values = df.select(*[column.alias(name) for column, name in zip(model.binning.columns(), names)])
+    listed = F.array(*[F.lit(name) for name in model.binning.features])
     return (
-        assembled.mapInPandas(partial_sums, "place int, total double")
+        values.mapInArrow(partial_sums, "place int, total double, rows long, adds_up long")
         .groupBy("place")
-        .agg(F.sum("total").alias("total"))
-        .select(F.get(names, F.col("place")).alias("feature"), "total")
+        .agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"), F.sum("adds_up").alias("adds_up"))
+        .select(F.get(listed, F.col("place")).alias("feature"), "total", "rows", "adds_up")
     )
 
 

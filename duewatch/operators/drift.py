@@ -169,11 +169,11 @@ def _auto_bins(rows, low, high, quartile_range):
 
 
 def density_histogram(both: DataFrame, side: str, features: list[str], bins: int | None = None) -> DataFrame:
-    """Density per feature, side and bin; each side has its own range and bin count.
+    """Density of each bin that holds a value, per feature and side; each side has its own range and bin count.
 
-    The bin count is automatic, or ``bins`` if given, at every size. Automatic
-    counts grow with far outliers; give ``bins`` for those. The rows are read once: ranges, quartiles and bins all come from the written counts of
-    distinct values.
+    The bin count is automatic, or ``bins`` if given, at every size, and comes along as ``bins``; bins that are not listed are
+    empty. So there are never more rows than distinct values, however far apart these lie. The rows are read once: ranges,
+    quartiles and bins all come from the written counts of distinct values.
     """
     values = long_values(both, side, features, "double")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
@@ -224,14 +224,12 @@ def density_histogram(both: DataFrame, side: str, features: list[str], bins: int
         .groupBy(*keys, "bin")
         .agg(F.sum("_rows").alias("_count"))
     )
-    all_bins = sides.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)))
-    density = F.coalesce(F.col("_count"), F.lit(0)) / (F.col("_n") * F.col("_width"))
-    return all_bins.join(counted, [*keys, "bin"], "left").select(
+    return counted.join(F.broadcast(sides), keys).select(
         "feature",
         (F.col("_part") == "reference").alias(side),
+        "bins",
         "bin",
         edge(F.col("bin")).alias("bin_start"),
         edge(F.col("bin") + 1).alias("bin_end"),
-        density.alias("density"),
+        (F.col("_count") / (F.col("_n") * F.col("_width"))).alias("density"),
     )
-

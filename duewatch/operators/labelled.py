@@ -36,7 +36,7 @@ def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.na.drop("any", subset=columns)
 
 
-def dropped_counts(df: DataFrame, columns: list[str], by: str) -> DataFrame:
+def dropped_counts(df: DataFrame, columns: list[str], by: str | Column) -> DataFrame:
     """Per group: rows, rows kept and rows with a gap, from one pass."""
     gap = F.lit(False)
     for name in columns:

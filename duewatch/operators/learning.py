@@ -1,24 +1,22 @@
-"""Boosted-tree training, cross-validation and scoring with Spark ML."""
+"""Folds, fitting, cross-validation, search and scoring of boosted trees."""
 
 from __future__ import annotations
 
 import math
-import random
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from duewatch.functions.parsing import decimal_number
+from duewatch.operators.boosting import (
+    BINS, BoostedTrees, Fit, binned_rows, grow_models, held_out_scores, learn_bins, probabilities,
+)
 from duewatch.operators.ranking import SLICE, in_slices, roc_auc, slices_before
-from duewatch.session import fresh_path, staged
+from duewatch.operators.search import Sampler
+from duewatch.session import staged
 
 # Columns that are never features, and the search space
 # (name: kind, low, high).
@@ -29,6 +27,8 @@ SEARCH_SPACE = {
     "gamma": ("even", 0.0, 5.0),
     "subsample": ("even", 0.5, 1.0),
     "colsample_bytree": ("even", 0.5, 1.0),
+    "reg_alpha": ("log", 1e-8, 10.0),
+    "reg_lambda": ("log", 1e-6, 20.0),
 }
 DEFAULT_TREES = 100
 PROBABILITY_FLOOR = 2.220446049250313e-16
@@ -75,85 +75,74 @@ def encoded(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFr
     return typed.withColumns(coded).select(*[F.col(f"`{name}`") for name in df.columns])
 
 
+COPIES = 10_000  # copies of a row are written out in lots of so many
+
+
 def stratified_folds(df: DataFrame, folds: int, label: str = "label", seed: int = 42, bucket_rows: int = 4096) -> DataFrame:
-    """Adds ``fold``: a shuffled numbering of the rows of each label, modulo ``folds``.
-
-    Fold sizes of a label differ by at most one row. Rows get a drawn number from
-    a hash of their staged position, so copies of a row spread like any others.
-    The leading bits of that number cut each label into even buckets which are
-    numbered separately; the bucket sizes give the offset of each bucket. There
-    are as many buckets as keep them near ``bucket_rows`` rows, which does not
-    change the numbering.
+    """Adds ``fold``: a shuffled numbering of the rows of each label, modulo ``folds``. See ``shuffled_numbers``."""
+    numbered = shuffled_numbers(df, label, seed, bucket_rows)
+    return numbered.withColumn("fold", (F.col("number") % folds).cast("int")).select(*df.columns, "fold")
+
+
+def shuffled_numbers(df: DataFrame, label: str = "label", seed: int = 42, bucket_rows: int = 4096) -> DataFrame:
+    """Adds ``number``: 0, 1, 2, ... over the rows of each label, in an order drawn from a hash of their content.
+
+    Equal rows are counted and written out again with consecutive numbers, so that the numbering depends on nothing but the
+    rows themselves, whatever files or partitions they came in. The leading bits of the hash cut each label into even
+    buckets which are numbered separately; the bucket sizes give the offset of each. There are as many buckets as keep
+    them near ``bucket_rows`` different rows, which does not change the numbering.
     """
-    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "fold-rows")
-    bucket_bits = max(1, math.ceil(math.log2(max(1.0, rows.count() / bucket_rows))))
-    drawn = F.xxhash64(F.col("_row"), F.lit(seed))
-    rows = rows.withColumn("_draw", drawn).withColumn("_bucket", F.shiftrightunsigned("_draw", 64 - bucket_bits))
-    sizes = rows.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    counted = staged(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")), "fold-rows")
+    bucket_bits = max(1, math.ceil(math.log2(max(1.0, counted.count() / bucket_rows))))
+    drawn = counted.withColumn("_draw", F.xxhash64(*columns, F.lit(seed))).withColumn("_tie", F.xxhash64(F.lit(seed), *columns))
+    drawn = drawn.withColumn("_bucket", F.shiftrightunsigned("_draw", 64 - bucket_bits))
+    sizes = drawn.groupBy(label, "_bucket").agg(F.sum("_copies").alias("_size"))
     earlier = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(label, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    # At most 2**bucket_bits rows per label.
-    placed = rows.join(staged(offsets, "fold-offsets"), [label, "_bucket"])
-    inside = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_draw", "_row"))
-    number = F.col("_offset") + inside - 1
-    return placed.withColumn("fold", (number % folds).cast("int")).select(*df.columns, "fold")
-
-
-def draw_parameters(trials: int, seed: int, feature_groups: dict[str, list[str]] | None = None) -> list[dict]:
-    """Random points of the search space, and a feature group for each when groups are given."""
-    source = random.Random(seed)
-    points = []
-    for _ in range(trials):
-        point = {}
-        for name, (kind, low, high) in SEARCH_SPACE.items():
-            if kind == "whole":
-                point[name] = source.randint(low, high)
-            elif kind == "log":
-                point[name] = math.exp(source.uniform(math.log(low), math.log(high)))
-            else:
-                point[name] = source.uniform(low, high)
-        if feature_groups:
-            point["feature_group"] = source.choice(sorted(feature_groups))
-        points.append(point)
-    return points
-
-
-def classifier(parameters: dict, rows: int, trees: int = DEFAULT_TREES, seed: int = 42) -> GBTClassifier:
-    """Boosted trees with the drawn parameters.
-
-    ``gamma`` is a loss reduction over all rows, Spark's ``minInfoGain`` one per
-    row, so it is divided by the row count.
-    """
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=trees,
-        maxDepth=parameters.get("max_depth", 6),
-        stepSize=parameters.get("learning_rate", 0.3),
-        minInfoGain=parameters.get("gamma", 0.0) / max(rows, 1),
-        subsamplingRate=parameters.get("subsample", 1.0),
-        featureSubsetStrategy=str(parameters.get("colsample_bytree", "all")),
-        seed=seed,
+    # At most 2**bucket_bits rows per label. A null label is a label of its own.
+    offsets = staged(offsets, "fold-offsets").select(F.col(label).alias("_label"), F.col("_bucket").alias("_of"), "_offset")
+    placed = drawn.join(offsets, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_bucket") == F.col("_of")))
+    before = Window.partitionBy(label, "_bucket").orderBy("_draw", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_offset") + F.coalesce(F.sum("_copies").over(before), F.lit(0))
+    lots = placed.withColumn("_first", first).withColumn(
+        "_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {COPIES}")))
     )
+    # Lots spread over the tasks before they become rows.
+    lots = lots.hint("rebalance")
+    own = F.sequence(F.col("_lot") * COPIES, F.least((F.col("_lot") + 1) * COPIES, F.col("_copies")) - 1)
+    rows = lots.withColumn("_copy", F.explode(own))
+    return rows.withColumn("number", F.col("_first") + F.col("_copy")).select(*df.columns, "number")
 
 
-def fit_classifier(train: DataFrame, features: list[str], parameters: dict, trees: int = DEFAULT_TREES) -> PipelineModel:
-    """Train on all complete rows. Everything stays on the cluster; the model holds the trees only."""
-    complete = train.na.drop("any", subset=["label", *features])
-    rows = complete.count()
-    if rows == 0:
-        raise ValueError("no complete rows to train on")
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return Pipeline(stages=[assembler, classifier(parameters, rows, trees)]).fit(
-        complete.withColumn("label", F.col("label").cast("double"))
-    )
+def complete_rows(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
+    """Label and features of the rows that have all of them."""
+    names = ["label", *numeric, *categorical]
+    return train.select(*[F.col(f"`{name}`") for name in names]).na.drop("any")
+
 
+def numbered_bins(rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], folds: int, seed: int, bins: int):
+    """The rows as bin numbers, with fold and a number of their own, written once; and the binning."""
+    numbered = staged(shuffled_numbers(rows, seed=seed), "numbered-rows")
+    binning = learn_bins(numbered, numeric, categorical, bins)
+    fold = (F.col("number") % folds).cast("int")
+    # Unique over both labels.
+    unique = F.col("number") * 2 + F.col("label").cast("int")
+    return staged(binned_rows(numbered.withColumn("fold", fold).withColumn("number", unique), binning).hint("rebalance"), "bins"), binning
 
-def scored(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+
+def fit_classifier(
+    train: DataFrame, numeric: Sequence[str], parameters: dict, trees: int = DEFAULT_TREES, categorical: Sequence[str] = (),
+    seed: int = 42, bins: int = BINS,
+) -> BoostedTrees:
+    """Train on all complete rows. Everything stays on the cluster but one row per node and feature, and the trees."""
+    rows, binning = numbered_bins(complete_rows(train, numeric, categorical), numeric, categorical, 1, seed, bins)
+    return grow_models(rows, binning, [Fit(parameters, seed=seed)], trees)[0]
+
+
+def scored(model: BoostedTrees, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``df`` with the default probability and the decision at ``threshold``."""
-    dropped = ["features", "rawPrediction", "probability", "prediction"]
-    probability = vector_to_array(F.col("probability")).getItem(1)
-    result = model.transform(df).withColumn("default_probability", probability).drop(*dropped)
+    result = df.withColumn("default_probability", probabilities(model))
     return result.withColumn("prediction", (F.col("default_probability") >= threshold).cast("int"))
 
 
@@ -188,63 +177,48 @@ def classification_metrics(
     )
 
 
-def cross_validated(
-    folded: DataFrame, features: list[str], points: list[dict], feature_groups: dict[str, list[str]] | None = None,
-    trees: int = DEFAULT_TREES, parallelism: int = 4,
-) -> DataFrame:
-    """Out-of-fold scores of every trial: trial, fold, label, default_probability.
-
-    Fits are submitted side by side; the data is read once and kept during them.
-    """
-    kept = folded.select("label", "fold", *[F.col(f"`{name}`") for name in features]).na.drop().persist()
-    sizes = {row["fold"]: row["rows"] for row in kept.groupBy("fold").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    rows = sum(sizes.values())
-
-    def one(trial: int, fold: int) -> DataFrame:
-        point = points[trial]
-        columns = feature_groups[point["feature_group"]] if feature_groups else features
-        assembler = VectorAssembler(inputCols=columns, outputCol="features")
-        data = kept.withColumn("label", F.col("label").cast("double"))
-        pipeline = Pipeline(stages=[assembler, classifier(point, rows - sizes[fold], trees)])
-        model = pipeline.fit(data.where(F.col("fold") != fold))
-        held_out = scored(model, data.where(F.col("fold") == fold))
-        return held_out.select("fold", F.col("label").cast("int"), "default_probability")
-
-    path = fresh_path(folded.sparkSession, "out-of-fold")
-
-    def write_trial(trial: int) -> None:
-        """One trial's scores, as soon as its folds are done; a plan holds the models of one trial only."""
-        reduce(DataFrame.unionByName, [one(trial, fold) for fold in sorted(sizes)]).write.parquet(f"{path}/trial={trial}")
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            list(pool.map(write_trial, range(len(points))))
-        return folded.sparkSession.read.parquet(path)
-    finally:
-        kept.unpersist()
+METRICS = ["auc", "accuracy", "precision", "recall", "f1", "log_loss"]
 
 
 def random_search(
-    train: DataFrame, features: list[str], trials: int, folds: int = 5, seed: int = 42,
-    feature_groups: dict[str, list[str]] | None = None, trees: int = DEFAULT_TREES, parallelism: int = 4,
-) -> tuple[PipelineModel, dict, DataFrame]:
-    """Best model refitted on all rows, its parameters, and one row per trial: mean metrics, parameters, feature group."""
-    points = draw_parameters(trials, seed, feature_groups)
-    folded = staged(stratified_folds(train.na.drop("any", subset=["label", *features]), folds, seed=seed), "folds")
-    predictions = cross_validated(folded, features, points, feature_groups, trees, parallelism)
-    by_fold = classification_metrics(predictions, ["trial", "fold"])
-    names = ["auc", "accuracy", "precision", "recall", "f1", "log_loss"]
-    # One row per trial.
-    means = staged(
-        by_fold.groupBy("trial").agg(*[F.avg(name).alias(f"mean_{name}") for name in names]), "trial-means"
-    )
-    best_row = means.orderBy(F.col("mean_auc").desc_nulls_last(), "trial").first()
-    best = {**points[best_row["trial"]], "cv_auc": best_row["mean_auc"], "trial": best_row["trial"]}
-    columns = feature_groups[best["feature_group"]] if feature_groups else features
-    drawn = [
-        (trial, {name: float(point[name]) for name in SEARCH_SPACE}, point.get("feature_group"))
-        for trial, point in enumerate(points)
-    ]
-    parameters = train.sparkSession.createDataFrame(drawn, "trial int, parameters map<string,double>, feature_group string")
-    records = means.join(F.broadcast(parameters), "trial")
-    return fit_classifier(folded.drop("fold"), columns, best, trees), {**best, "features": columns}, records
+    train: DataFrame, numeric: Sequence[str], trials: int, folds: int = 5, seed: int = 42,
+    feature_groups: dict[str, list[str]] | None = None, trees: int = DEFAULT_TREES, categorical: Sequence[str] = (),
+    together: int = 5, bins: int = BINS,
+) -> tuple[BoostedTrees, dict, DataFrame]:
+    """Best model refitted on all rows, its parameters, and one row per trial: mean metrics, parameters, feature group.
+
+    Points are drawn by densities of the earlier trials (``Sampler``), ``together`` of them at a time; all folds of these
+    grow in the same jobs.
+    """
+    rows, binning = numbered_bins(complete_rows(train, numeric, categorical), numeric, categorical, folds, seed, bins)
+    space = dict(SEARCH_SPACE) | ({"feature_group": ("choice", sorted(feature_groups))} if feature_groups else {})
+    sampler = Sampler(space, seed)
+
+    def columns(point: dict) -> list[int] | None:
+        return [binning.features.index(f) for f in feature_groups[point["feature_group"]]] if feature_groups else None
+
+    points: list[dict] = []
+    records: list[tuple] = []
+    while len(points) < trials:
+        drawn = [sampler.draw() for _ in range(min(together, trials - len(points)))]
+        fits = [Fit(point, columns(point), fold, seed) for point in drawn for fold in range(folds)]
+        numbers = [len(points) + n for n in range(len(drawn)) for _ in range(folds)]
+        models = grow_models(rows, binning, fits, trees)
+        predictions = staged(held_out_scores(rows, models, fits, numbers), "out-of-fold")
+        by_fold = classification_metrics(predictions, ["trial", "fold"])
+        counts = F.sum("records").cast("long").alias("rows")
+        means = {row["trial"]: row for row in by_fold.groupBy("trial").agg(
+            counts, *[F.avg(name).alias(f"mean_{name}") for name in METRICS]
+        ).collect()}  # one row per trial
+        for number, point in enumerate(drawn, len(points)):
+            mean = means[number]
+            sampler.tell(point, mean["mean_auc"])
+            numbers_only = {name: float(point[name]) for name in SEARCH_SPACE}
+            records.append((number, *[mean[f"mean_{name}"] for name in METRICS], mean["rows"], numbers_only, point.get("feature_group")))
+        points += drawn
+    best_trial = max(range(trials), key=lambda n: (records[n][1] is not None, records[n][1] or 0.0, -n))
+    best = {**points[best_trial], "cv_auc": records[best_trial][1], "trial": best_trial}
+    model = grow_models(rows, binning, [Fit(best, columns(best), seed=seed)], trees)[0]
+    schema = "trial int, " + ", ".join(f"mean_{name} double" for name in METRICS)
+    schema += ", rows long, parameters map<string,double>, feature_group string"
+    return model, {**best, "features": model.features}, train.sparkSession.createDataFrame(records, schema)

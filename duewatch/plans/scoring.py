@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duewatch.operators.boosting import BoostedTrees
 from duewatch.operators.labelled import scored_with_labels, unmatched_labels, with_label_membership
 from duewatch.operators.learning import scored
 from duewatch.operators.monitor import evaluation_records
@@ -14,14 +14,14 @@ from duewatch.sources.records import REQUIRED_RUN_KEYS, append_records, latest_r
 from duewatch.sources.snapshots import calendar_months, read_snapshots, write_snapshots
 
 
-def load_run(spark: SparkSession, root: str, run_id: str | None = None) -> tuple[PipelineModel, list[str], dict]:
+def load_run(spark: SparkSession, root: str, run_id: str | None = None) -> tuple[BoostedTrees, list[str], dict]:
     """Model and features of the newest, or the named, run. One record comes to the driver."""
     record = latest_record(read_records(spark, f"{root}/runs", REQUIRED_RUN_KEYS), run_id).first().asDict(True)
-    return PipelineModel.load(record["stage2_model_path"]), record["selected_features"], record
+    return BoostedTrees.load(spark, record["stage2_model_path"]), record["selected_features"], record
 
 
 def score_months(
-    store: DataFrame, model: PipelineModel, features: list[str], labels: DataFrame, threshold: float = 0.5,
+    store: DataFrame, model: BoostedTrees, features: list[str], labels: DataFrame, threshold: float = 0.5,
     feature_lag_months: int = 0,
 ) -> DataFrame:
     """Every customer-month with features, probability, decision and the newest month with a label.
@@ -52,5 +52,7 @@ def evaluate_and_write(spark: SparkSession, root: str, first, last, dpd: int = D
     months = calendar_months(first, last)
     write_snapshots(scored_with_labels(rows, labels), f"{root}/scored_with_labels", months=months)
     matched = read_snapshots(spark, f"{root}/scored_with_labels", first, last)
+    if matched.isEmpty():
+        raise ValueError("no scored row has a label of the same month")
     records = evaluation_records(matched, unmatched_labels(rows, labels), dpd, mob)
     append_records(records.withColumn("evaluated_at", F.current_timestamp()), f"{root}/evaluations")

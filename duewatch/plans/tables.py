@@ -14,12 +14,12 @@ from duewatch.operators.features import (
     LINEAR_FEATURES,
     feature_store,
     joined_as_known,
-    joined_sources,
     model_table,
 )
 from duewatch.operators.financials import clean_financials
 from duewatch.operators.loans import default_labels, loan_status
 from duewatch.operators.months import restamped
+from duewatch.session import staged
 from duewatch.sources import schemas
 from duewatch.sources.snapshots import calendar_months, read_raw_csv, read_snapshots, write_snapshots
 
@@ -54,25 +54,36 @@ def month_rows(df: DataFrame, first, last) -> DataFrame:
     return dated.where(F.col("snapshot_date").between(*bounds))
 
 
-def silver_attributes(raw: DataFrame, first, last) -> DataFrame:
-    """Text is cleaned once per raw row and then carried forward; so are the age sums behind the means."""
-    typed = attributes_typed(raw)
+def carried_attributes(typed: DataFrame, first, last) -> DataFrame:
+    """Typed rows carried forward; so are the age sums behind the means."""
     return ages_imputed(restamped(typed, first, last), restamped(age_sums(typed), first, last))
 
 
+def carried_financials(cleaned: DataFrame, first, last) -> DataFrame:
+    carried = restamped(cleaned, first, last)
+    return carried.withColumn("snapshot_date_str", F.date_format("snapshot_date", "yyyy-MM-dd"))
+
+
+def silver_attributes(raw: DataFrame, first, last) -> DataFrame:
+    """Text is cleaned once per raw row and then carried forward."""
+    return carried_attributes(attributes_typed(raw), first, last)
+
+
 def silver_financials(raw: DataFrame, first, last) -> DataFrame:
     """Cleaned once per raw row, then carried forward."""
-    carried = restamped(clean_financials(raw), first, last)
-    return carried.withColumn("snapshot_date_str", F.date_format("snapshot_date", "yyyy-MM-dd"))
+    return carried_financials(clean_financials(raw), first, last)
 
 
-def known_customers(raw: RawTables, first, last) -> DataFrame:
+def known_by_click_month(typed: DataFrame, cleaned: DataFrame, clicks: DataFrame, first, last) -> DataFrame:
     """Customer-months of the click table with everything known by then, ages filled."""
-    attributes = attributes_typed(raw.attributes)
-    financials = clean_financials(raw.financials).drop("snapshot_date_str")
+    joined = joined_as_known(typed, cleaned.drop("snapshot_date_str"), clicks)
+    return ages_imputed(joined, restamped(age_sums(typed), first, last))
+
+
+def known_customers(raw: RawTables, first, last) -> DataFrame:
+    """The same from raw tables."""
     clicks = clean_clicks(month_rows(raw.clicks, first, last))
-    joined = joined_as_known(attributes, financials, clicks)
-    return ages_imputed(joined, restamped(age_sums(attributes), first, last))
+    return known_by_click_month(attributes_typed(raw.attributes), clean_financials(raw.financials), clicks, first, last)
 
 
 def gold_features(raw: RawTables, first, last) -> DataFrame:
@@ -95,23 +106,27 @@ def bronze_tables(raw: RawTables, first, last) -> dict[str, DataFrame]:
 def backfill(raw: RawTables, root: str, first, last, dpd: int = DPD, mob: int = MOB) -> None:
     """Write all layers for the months from ``first`` to ``last``; other months of the tables stay.
 
-    Each layer is written once and read back by the next, so no layer is computed twice.
+    The raw text is read once: typed and cleaned rows are written, and the silver tables, which carry them to every later
+    month, and the gold table, which compares their dates with the click month, both read these.
     """
     spark = raw.loans.sparkSession
     months = calendar_months(first, last)
+    raw = RawTables(*[staged(table, "raw") for table in (raw.loans, raw.attributes, raw.clicks, raw.financials)])
     for name, table in bronze_tables(raw, first, last).items():
         write_snapshots(table, f"{root}/bronze/{name}", "csv", months=months)
 
-    write_snapshots(loan_status(month_rows(raw.loans, first, last)), f"{root}/silver/loan_daily", months=months)
-    write_snapshots(silver_attributes(raw.attributes, first, last), f"{root}/silver/attributes", months=months)
-    write_snapshots(silver_financials(raw.financials, first, last), f"{root}/silver/financials", months=months)
+    typed, cleaned = staged(attributes_typed(raw.attributes), "typed"), staged(clean_financials(raw.financials), "cleaned")
+    loans = loan_status(month_rows(raw.loans, first, last))
+    write_snapshots(loans, f"{root}/silver/loan_daily", months=months)
+    write_snapshots(carried_attributes(typed, first, last), f"{root}/silver/attributes", months=months)
+    write_snapshots(carried_financials(cleaned, first, last), f"{root}/silver/financials", months=months)
     write_snapshots(clean_clicks(month_rows(raw.clicks, first, last)), f"{root}/silver/clickstream", months=months)
 
     def silver(name: str) -> DataFrame:
         return read_snapshots(spark, f"{root}/silver/{name}", first, last)
 
     write_snapshots(default_labels(silver("loan_daily"), dpd, mob), f"{root}/gold/label_store", months=months)
-    store = feature_store(joined_sources(silver("attributes"), silver("financials"), silver("clickstream")))
+    store = feature_store(known_by_click_month(typed, cleaned, silver("clickstream"), first, last))
     write_snapshots(store, f"{root}/gold/feature_store", months=months)
     written = read_snapshots(spark, f"{root}/gold/feature_store", first, last)
     for name, features in MODEL_TABLES.items():

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duewatch.functions.numeric import month_start
 from duewatch.operators.attribution import attribution_totals, feature_groups
-from duewatch.operators.labelled import OTHER_SPLIT, split_name
-from duewatch.operators.learning import DEFAULT_TREES, feature_columns, random_search, scored
+from duewatch.operators.boosting import BoostedTrees
+from duewatch.operators.labelled import OTHER_SPLIT, dropped_counts, split_name
+from duewatch.operators.learning import DEFAULT_TREES, SEARCH_SPACE, complete_rows, feature_columns, random_search, scored
 from duewatch.operators.monitor import OOT, SPLIT_CALENDAR, TEST, TRAIN
 from duewatch.operators.ranking import roc_auc
 from duewatch.plans.tables import LAG_MONTHS
@@ -21,7 +21,7 @@ from duewatch.sources.records import append_records
 
 @dataclass(frozen=True)
 class TrainingRun:
-    model: PipelineModel
+    model: BoostedTrees
     selected_features: list[str]
     reference: DataFrame  # all split rows with score and split name
     record: dict
@@ -40,39 +40,46 @@ def split_aucs(reference: DataFrame) -> dict[str, float | None]:
     return {row["split"]: row["auc"] for row in roc_auc(reference, ["split"]).collect()}
 
 
+DEFAULT_TRIALS, DEFAULT_FOLDS = 50, 5
+
+
 def two_stage_training(
     training: DataFrame,
     splits=SPLIT_CALENDAR,
     lag_months: int = LAG_MONTHS,
-    initial_trials: int = 50,
-    refine_trials: int = 50,
-    folds: int = 5,
+    initial_trials: int = DEFAULT_TRIALS,
+    refine_trials: int = DEFAULT_TRIALS,
+    folds: int = DEFAULT_FOLDS,
     trees: int = DEFAULT_TREES,
     seed: int = 42,
-    parallelism: int = 4,
+    together: int = 5,
 ) -> TrainingRun:
+    """Numeric and text columns are features alike; rows with a gap in any of them are left out and counted in the record."""
     rows = staged(with_split(training, splits, lag_months), "training-set")
-    features, _ = feature_columns(rows.drop("split"))
+    numeric, categorical = feature_columns(rows.drop("split"))
     train = rows.where(F.col("split") == TRAIN).drop("split")
+    gaps = dropped_counts(train, ["label", *numeric, *categorical], F.lit(TRAIN).alias("split")).first()
 
-    first_model, first, first_trials = random_search(train, features, initial_trials, folds, seed, trees=trees, parallelism=parallelism)
-    groups = feature_groups(attribution_totals(first_model, train.na.drop("any", subset=features)))
+    first_model, first, first_trials = random_search(
+        train, numeric, initial_trials, folds, seed, trees=trees, categorical=categorical, together=together
+    )
+    groups = feature_groups(attribution_totals(first_model, complete_rows(train, numeric, categorical)))
     model, best, second_trials = random_search(
-        train, features, refine_trials, folds, seed + 1, groups, trees=trees, parallelism=parallelism
+        train, numeric, refine_trials, folds, seed + 1, groups, trees=trees, categorical=categorical, together=together
     )
 
     reference = staged(scored(model, rows).drop("prediction"), "reference-data")
     aucs = split_aucs(reference)
-    tuned = ("learning_rate", "max_depth", "gamma", "subsample", "colsample_bytree")
     record = {
         "stage1_best_auc": first["cv_auc"],
         "stage2_best_auc": best["cv_auc"],
         "test_auc": aucs.get(TEST),
         "oot_auc": aucs.get(OOT),
-        "best_params": {name: float(best[name]) for name in tuned},
+        "best_params": {name: float(best[name]) for name in SEARCH_SPACE},
         "selected_feature_group": best["feature_group"],
         "selected_features": best["features"],
         "feature_groups": groups,
+        "rows_dropped": gaps["dropped"] if gaps else 0,
     }
     trials = first_trials.withColumn("stage", F.lit(1)).unionByName(
         second_trials.withColumn("stage", F.lit(2)), allowMissingColumns=True
@@ -83,7 +90,7 @@ def two_stage_training(
 RECORD_SCHEMA = (
     "run_id string, created_at timestamp, stage1_best_auc double, stage2_best_auc double, test_auc double, "
     "oot_auc double, best_params map<string,double>, selected_feature_group string, "
-    "selected_features array<string>, feature_groups map<string,array<string>>, "
+    "selected_features array<string>, feature_groups map<string,array<string>>, rows_dropped long, "
     "stage2_model_path string, reference_data_path string"
 )
 
@@ -92,7 +99,7 @@ def save_run(spark: SparkSession, run: TrainingRun, root: str, run_id: str, crea
     """Model, reference data, trials and one registry record."""
     model_path, reference_path = f"{root}/models/{run_id}", f"{root}/reference/{run_id}"
     run.trials.write.mode("overwrite").parquet(f"{root}/trials/{run_id}")
-    run.model.write().overwrite().save(model_path)
+    run.model.save(spark, model_path)
     run.reference.drop("split").write.mode("overwrite").parquet(reference_path)
     record = {
         **run.record, "run_id": run_id, "created_at": created_at,

@@ -88,3 +88,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,11 +1,9 @@
 """Folds, training, attributions and feature sets."""
 
-import itertools
 import math
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from duewatch.operators import attribution, learning
@@ -43,13 +41,6 @@ def test_folds_are_even_per_label_also_for_copies(spark, rows):
             assert len(counts) == folds and max(counts) - min(counts) <= 1
 
 
-def test_drawn_parameters_stay_in_range():
-    for point in learning.draw_parameters(50, seed=1, feature_groups={"x": ["a"], "y": ["b"]}):
-        for name, (_, low, high) in learning.SEARCH_SPACE.items():
-            assert low <= point[name] <= high
-        assert point["feature_group"] in ("x", "y")
-
-
 def test_feature_columns_leave_out_ids(spark):
     frame = spark.createDataFrame([("c", 1, 2.0, "t")], "Customer_ID string, label int, x double, kind string")
     assert learning.feature_columns(frame) == (["x"], ["kind"])
@@ -85,46 +76,6 @@ def test_metrics(spark):
     assert (two.precision, two.recall, two.f1, two.auc) == (0.0, 0.0, 0.0, 0.0)
 
 
-def brute_shapley(tree_leaves, row, features):
-    """Shapley values by all feature subsets; features outside the subset are averaged by leaf shares."""
-
-    def value(known):
-        total = 0.0
-        for leaf, used, low, high, share in tree_leaves:
-            weight = 1.0
-            for place, feature in enumerate(used):
-                weight *= float(low[place] < row[feature] <= high[place]) if feature in known else share[place]
-            total += leaf * weight
-        return total
-
-    result = np.zeros(features)
-    for feature in range(features):
-        others = [f for f in range(features) if f != feature]
-        for size in range(features):
-            for subset in itertools.combinations(others, size):
-                weight = math.factorial(size) * math.factorial(features - size - 1) / math.factorial(features)
-                result[feature] += weight * (value({*subset, feature}) - value(set(subset)))
-    return result
-
-
-def test_attributions_equal_brute_force_and_add_up(spark, model, rows):
-    tree_leaves = attribution.leaves(model, spark)
-    values = np.array([[row[name] for name in FEATURES] for row in rows.limit(15).collect()])
-    found = attribution.row_attributions(values, tree_leaves)
-    for row, attributed in zip(values, found):
-        assert attributed == pytest.approx(brute_shapley(tree_leaves, row, len(FEATURES)), abs=1e-10)
-    margins = model.transform(rows.limit(15)).select(vector_to_array("rawPrediction")[1]).collect()
-    base = attribution.base_value(tree_leaves)
-    assert found.sum(axis=1) + base == pytest.approx(np.array([m[0] for m in margins]), abs=1e-9)
-
-
-def test_attribution_totals_add_all_rows(spark, model, rows):
-    values = np.array([[row[name] for name in FEATURES] for row in rows.collect()])
-    expected = np.abs(attribution.row_attributions(values, attribution.leaves(model, spark))).sum(axis=0)
-    found = {row.feature: row.total for row in attribution.attribution_totals(model, rows.repartition(5)).collect()}
-    assert [found[name] for name in FEATURES] == pytest.approx(list(expected))
-
-
 def test_feature_sets(spark):
     totals = spark.createDataFrame([("a", 50.0), ("b", 20.0), ("c", 10.0), ("d", 8.0), ("e", 7.0), ("f", 5.0)], "feature string, total double")
     bins = {row.feature_group: row.feature_names for row in attribution.feature_bins(totals).collect()}
@@ -136,10 +87,18 @@ def test_feature_sets(spark):
 
 
 def test_random_search_refits_the_best_trial(rows):
-    model, best, trials = learning.random_search(rows, FEATURES, trials=2, folds=2, trees=3, parallelism=2)
-    means = {row.trial: row.mean_auc for row in trials.collect()}
-    assert best["cv_auc"] == max(means.values()) > 0.6
-    assert model.stages[0].getInputCols() == FEATURES
+    model, best, trials = learning.random_search(rows, FEATURES, trials=3, folds=2, trees=3, together=2)
+    trials = trials.collect()
+    assert best["cv_auc"] == max(row.mean_auc for row in trials) > 0.6
+    assert [(row.trial, row.rows) for row in trials] == [(0, 240), (1, 240), (2, 240)]
+    assert all(set(row.parameters) == set(learning.SEARCH_SPACE) for row in trials)
+    assert model.features == FEATURES
+
+
+def test_search_over_feature_groups(rows):
+    groups = {"one": ["a", "b", "c"], "two": ["b", "c", "d"]}
+    model, best, trials = learning.random_search(rows, FEATURES, trials=2, folds=2, feature_groups=groups, trees=2)
+    assert model.features == groups[best["feature_group"]] and {row.feature_group for row in trials.collect()} <= set(groups)
 
 
 def test_training_set_pairs_months_and_drops_gaps(spark):

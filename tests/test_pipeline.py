@@ -58,7 +58,7 @@ def test_train_score_evaluate_monitor(spark, root):
     labels = read_snapshots(spark, f"{root}/gold/label_store")
     store = read_snapshots(spark, f"{root}/gold/feature_store_full")
     run = two_stage_training(
-        training_set(labels, store), SPLITS, initial_trials=1, refine_trials=1, folds=2, trees=3, parallelism=4
+        training_set(labels, store), SPLITS, initial_trials=1, refine_trials=1, folds=2, trees=3
     )
     assert set(run.record["selected_features"]) <= set(FULL_FEATURES)
     save_run(spark, run, root, "run_a", datetime.datetime(2024, 1, 1))
