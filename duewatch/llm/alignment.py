@@ -22,7 +22,6 @@ Extra columns are not read. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from itertools import chain
 
@@ -32,9 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duewatch.llm.scratch import Scratch
+from duewatch.llm.tokens import ByteLevel
 
-# Fixed value: how byte-level tokenizers of this kind cut a text before merging.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -48,39 +46,6 @@ BLOCK_PAIRS = 2_000_000  # a block ends at so many pairs of a document; one docu
 WHOLE_PRODUCT = 64  # groups with more links are kept as distinct pairs
 
 
-def byte_characters() -> dict[str, int]:
-    """The byte behind each character of a byte-level vocabulary: printable ones stand for themselves, the others for
-    the characters from 256 on, in order."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
-
-
-class ByteLevel:
-    """Ids and their bytes by a byte-level BPE file whose ids follow the order of its merges."""
-
-    def __init__(self, path: str):
-        import tiktoken
-
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model, cut = spec["model"], spec["pre_tokenizer"] or {}
-        merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
-        first = len(model["vocab"]) - len(merges) - len({t["content"] for t in spec["added_tokens"]} & set(model["vocab"]))
-        plain = (
-            model["type"] == "BPE" and spec["normalizer"] is None and cut.get("type") == "ByteLevel"
-            and cut.get("use_regex", True) and not cut.get("add_prefix_space")
-            and all(model["vocab"][token] == first + n for n, token in enumerate(merges))
-        )
-        if not plain:
-            raise ValueError("the file is no plain byte-level BPE with ids in the order of its merges")
-        letters, special = byte_characters(), {t["content"] for t in spec["added_tokens"]}
-        ranks = {bytes(map(letters.__getitem__, t)): n for t, n in model["vocab"].items() if t not in special}
-        # Without special tokens, so that their strings are plain text.
-        self.encode = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.bytes = {n: token for token, n in ranks.items()}
-
-
 class Pieces:
     """Ids and their bytes by a SentencePiece model."""
 

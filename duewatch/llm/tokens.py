@@ -1,9 +1,15 @@
-"""Token ids by a byte-level BPE tokenizer, each distinct space-led word of a task being encoded once."""
+"""Token ids by a byte-level BPE tokenizer, each distinct space-led word of a task being encoded once.
+
+The words go through a compiled merge table made of the same file; its ids are those of the file's own library, which
+encodes the texts that hold a special token.
+"""
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -14,7 +20,43 @@ LONGEST = 64  # words beyond this are encoded anew each time
 # every character that the tokenizer may take for white space, so no run of white space is ever cut.
 CUT = re.compile(r"(?<=\S)(?= )")
 RUN = re.compile(r"\s ")
-SPACE = "Ġ"  # fixed value: how byte-level pre-tokens write a space
+
+
+# Fixed value: how byte-level tokenizers of this kind cut a text before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_characters() -> dict[str, int]:
+    """The byte behind each character of a byte-level vocabulary: printable ones stand for themselves, the others for
+    the characters from 256 on, in order."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
+
+
+class ByteLevel:
+    """Ids and their bytes by a byte-level BPE file whose ids follow the order of its merges."""
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model, cut = spec["model"], spec["pre_tokenizer"] or {}
+        merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        first = len(model["vocab"]) - len(merges) - len({t["content"] for t in spec["added_tokens"]} & set(model["vocab"]))
+        plain = (
+            model["type"] == "BPE" and spec["normalizer"] is None and cut.get("type") == "ByteLevel"
+            and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+            and all(model["vocab"][token] == first + n for n, token in enumerate(merges))
+        )
+        if not plain:
+            raise ValueError("the file is no plain byte-level BPE with ids in the order of its merges")
+        letters, special = byte_characters(), {t["content"] for t in spec["added_tokens"]}
+        ranks = {bytes(map(letters.__getitem__, t)): n for t, n in model["vocab"].items() if t not in special}
+        # Without special tokens, so that their strings are plain text.
+        self.encode = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.bytes = {n: token for token, n in ranks.items()}
 
 
 class ByteLevelIds:
@@ -26,10 +68,8 @@ class ByteLevelIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        parts = repr(self.tokenizer.pre_tokenizer)
-        self.by_word = parts.startswith("ByteLevel") and "use_regex=True" in parts and self.tokenizer.normalizer is None
+        self.table = ByteLevel(path)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -37,7 +77,7 @@ class ByteLevelIds:
     def of(self, text: str) -> bytes:
         if not text:
             return b""
-        if not self.by_word or any(token in text for token in self.special):
+        if any(token in text for token in self.special):
             return self.whole(text)
         if RUN.search(text):
             first, *rest = CUT.split(text)
@@ -47,8 +87,6 @@ class ByteLevelIds:
         words = self.words
         if len(words) > CACHED_WORDS:
             words.clear()
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
         try:
             return self.encode(first) + b"".join(map(words.__getitem__, rest))
         except KeyError:
@@ -58,28 +96,9 @@ class ByteLevelIds:
             return self.encode(first) + b"".join([found[w] if w in found else words[w] for w in rest])
 
     def encoded(self, missing: list[str]):
-        """Words with the ids they have behind a space. Words without white space are pre-tokenized together: the pre-token
-        with the space, written as the mark, begins a word."""
-        plain = [word for word in missing if word.split() == [word]]
-        yield from ((word, self.encode(" " + word)) for word in missing if word.split() != [word])
-        for start in range(0, len(plain), 1024):
-            batch = plain[start : start + 1024]
-            ids: list[list[bytes]] = []
-            for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + " ".join(batch)):
-                if piece[0] == SPACE:
-                    ids.append([])
-                ids[-1].append(self.pieces.get(piece) or self.piece(piece))
-            assert len(ids) == len(batch)
-            yield from zip(batch, map(b"".join, ids))
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of a pre-token by the tokenizer's model, once for each distinct one."""
-        found = np.array([token.id for token in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
-        if len(piece) <= LONGEST:
-            self.pieces[piece] = found
-        return found
+        """Words with the ids they have behind a space."""
+        yield from ((word, self.encode(" " + word)) for word in missing)
 
     def encode(self, chunk: str) -> bytes:
-        """One chunk by the tokenizer's own pre-tokenizer and model."""
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)
-        return b"".join([self.pieces.get(piece) or self.piece(piece) for piece, _ in pieces])
+        ids = self.table.encode(chunk)
+        return struct.pack(f"<{len(ids)}I", *ids)

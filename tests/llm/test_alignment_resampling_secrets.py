@@ -8,12 +8,13 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
 
-from duewatch.llm import alignment, resampling, secret_scan
+from duewatch.llm import alignment, resampling, secret_scan, tokens
 from duewatch.llm.checks import CHECKS
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -89,6 +90,12 @@ def test_aligned_whole_texts(force):
         assert total[3] == sum(len(a) * len(b) for a, b in found)
 
 
+def test_ids_of_whole_texts():
+    ids, whole = tokens.ByteLevelIds(BYTES), tokenizers.Tokenizer.from_file(BYTES)
+    for text in strange(random.Random(6), 3000) + ["x" * 3000 + " y", "漢" * 500, " " * 50 + "a  b ", ""]:
+        assert np.frombuffer(ids.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def features(text):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
