@@ -66,10 +66,10 @@ def for_every_feature(tested: DataFrame, features: list[str]) -> DataFrame:
     )
 
 
-def ks_test(both: DataFrame, side: str, features: list[str], exact: bool = False) -> DataFrame:
+def ks_test(both: DataFrame, side: str, features: list[str], law: str = "asymptotic") -> DataFrame:
     """Largest distance between the two distribution functions of every numeric feature.
 
-    The p-value is asymptotic at every size, or exact if asked for. A feature without known values on a side has none.
+    The p-value follows one ``law`` at every size: asymptotic, one_sample or exact (see ``ks_tail``). A feature without known values on a side has none.
     """
     values = long_values(both, side, features, "double")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
@@ -104,7 +104,7 @@ def ks_test(both: DataFrame, side: str, features: list[str], exact: bool = False
             F.max("_n_ref").cast("long").alias("n_reference"),
             F.max("_n_cur").cast("long").alias("n_current"),
         )
-        .withColumn("p_value", ks_tail(F.col("statistic"), F.col("n_reference"), F.col("n_current"), exact))
+        .withColumn("p_value", ks_tail(F.col("statistic"), F.col("n_reference"), F.col("n_current"), law))
         .withColumn("drift_detected", F.coalesce(F.col("p_value") < SIGNIFICANCE, F.lit(False)))
     )
     return for_every_feature(tested, features).fillna(0, ["n_reference", "n_current"])

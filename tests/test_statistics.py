@@ -2,12 +2,13 @@
 
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from duewatch.functions.pvalues import _chi_square_tail, _exact_ks_tail, kolmogorov_tail
+from duewatch.functions.pvalues import _chi_square_tail, _exact_ks_tail, _matrix_law, _series_law, kolmogorov_tail, one_sample_tail
 from duewatch.operators.drift import chi2_test, density_histogram, drift_report, ks_test
 from duewatch.operators.ranking import exact_quantiles, in_slices, roc_auc
 
@@ -197,17 +198,16 @@ def test_histograms_match_numpy(spark):
         found.setdefault(row.is_reference, []).append(row.density)
     for side, values in ((True, left), (False, right)):
         density, _ = np.histogram(values, bins=numpy_bins(values), density=True)
-        assert found[side] == pytest.approx(list(density))
+        assert found[side] == pytest.approx([d for d in density if d])  # empty bins are not listed
 
 
 def test_histogram_of_a_long_tail_and_of_a_constant(spark):
     rng = np.random.default_rng(7)
     left = np.concatenate([rng.normal(size=500), [1e4]])
     rows = density_histogram(sides_frame(spark, left, np.full(20, 3.0)), "is_reference", ["x"], bins=250).collect()
-    reference = sorted((r.bin, r.density) for r in rows if r.is_reference)
-    assert len(reference) == 250
     density, _ = np.histogram(left, bins=250, density=True)
-    assert [d for _, d in reference] == pytest.approx(list(density))
+    assert {r.bins for r in rows} == {250}
+    assert {r.bin: r.density for r in rows if r.is_reference} == pytest.approx({n: d for n, d in enumerate(density) if d})
 
 
 def test_histogram_of_equal_values(spark):
@@ -230,3 +230,43 @@ def test_a_given_number_of_bins_is_used(spark):
     frame = sides_frame(spark, np.arange(50.0), np.arange(10.0))
     bins = density_histogram(frame, "is_reference", ["x"], bins=7).groupBy("is_reference").count().collect()
     assert [row["count"] for row in bins] == [7, 7]
+
+
+def test_one_sample_law_has_its_published_values():
+    assert 1 - one_sample_tail(0.274, 10) == pytest.approx(0.62847961545650, abs=1e-12)
+    # Critical distances at five percent by sample size, and at one percent.
+    for size, five, one in ((5, 0.56328, 0.66853), (10, 0.40925, 0.48893), (20, 0.29408, 0.35241), (40, 0.21012, 0.25205)):
+        assert one_sample_tail(five, size) == pytest.approx(0.05, abs=2e-5)
+        assert one_sample_tail(one, size) == pytest.approx(0.01, abs=1e-5)
+    # With two values, from 1 / 4: 1 - 2 (2 d - 1 / 2)^2 to d = 1 / 2, then 2 (1 - d)^2.
+    for d in (0.3, 0.45, 0.6, 0.9):
+        expected = 1 - 2 * (2 * d - 0.5) ** 2 if d <= 0.5 else 2 * (1 - d) ** 2
+        assert one_sample_tail(d, 2) == pytest.approx(expected, abs=1e-12)
+
+
+def test_the_series_meets_the_matrix_and_its_work_does_not_grow():
+    for size in (500, 1000):
+        for z in (0.4, 0.6, 0.9, 1.2, 1.6, 2.2, 3.0):
+            d = z / math.sqrt(size)
+            assert _series_law(d, size) == pytest.approx(_matrix_law(d, size), abs=1e-6)
+    began = time.perf_counter()
+    assert one_sample_tail(1.3581 / math.sqrt(1e12), 10**12) == pytest.approx(0.05, abs=1e-4)
+    assert time.perf_counter() - began < 1
+    tails = [one_sample_tail(d, size) for size in (900, 1100) for d in (0.05, 0.1, 0.13, 0.2, 0.5, 0.99, 1.0)]
+    assert all(0 <= t <= 1 for t in tails) and tails[:7] == sorted(tails[:7], reverse=True) and tails[7:] == sorted(tails[7:], reverse=True)
+
+
+def test_ks_laws_agree_on_large_samples(spark):
+    rng = np.random.default_rng(8)
+    rows = [(True, float(x)) for x in rng.normal(size=1500)] + [(False, float(x)) for x in rng.normal(0.06, 1, size=1200)]
+    frame = spark.createDataFrame(rows, "s boolean, a double")
+    found = [ks_test(frame, "s", ["a"], law).head()["p_value"] for law in ("asymptotic", "one_sample", "exact")]
+    assert found == pytest.approx([found[2]] * 3, abs=0.01) and found[1] > 0
+
+
+def test_one_far_value_does_not_blow_up_a_histogram(spark):
+    rows = [(True, float(n % 50)) for n in range(2000)] + [(True, 1e9), (False, 1.0)]
+    found = density_histogram(spark.createDataFrame(rows, "s boolean, a double"), "s", ["a"]).collect()
+    own = [row for row in found if row.s]
+    assert len(own) <= 51 and own[0].bins > 10**8
+    assert sum(row.density * (row.bin_end - row.bin_start) for row in own) == pytest.approx(1, abs=1e-6)
