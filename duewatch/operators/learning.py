@@ -116,9 +116,18 @@ def shuffled_numbers(df: DataFrame, label: str = "label", seed: int = 42, bucket
 
 
 def complete_rows(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
-    """Label and features of the rows that have all of them."""
-    names = ["label", *numeric, *categorical]
-    return train.select(*[F.col(f"`{name}`") for name in names]).na.drop("any")
+    """Label and features of the rows that have all of them, NaN counting as a gap.
+
+    One condition per column: a condition over all of them at once makes the optimizer list a variant of it for every set of
+    columns that a later step renames.
+    """
+    kinds = dict(train.dtypes)
+    rows = train.select(*[F.col(f"`{name}`") for name in ["label", *numeric, *categorical]])
+    for name in rows.columns:
+        column = F.col(f"`{name}`")
+        known = column.isNotNull() & ~F.isnan(column) if kinds[name] in ("double", "float") else column.isNotNull()
+        rows = rows.where(known)
+    return rows
 
 
 def numbered_bins(rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], folds: int, seed: int, bins: int):
