@@ -19,6 +19,7 @@ from duewatch.operators import attribution, boosting, learning
 from duewatch.operators.features import FULL_FEATURES
 from duewatch.operators.labelled import split_name, training_set
 from duewatch.operators.learning import DEFAULT_TREES
+from duewatch.operators.monitor import OOT, TEST
 from duewatch.operators.ranking import roc_auc
 from duewatch.plans.scoring import score_months
 from duewatch.plans.training import DEFAULT_FOLDS, two_stage_training
@@ -173,22 +174,24 @@ def ml_score(inputs: Inputs) -> DataFrame:
     return scored.select("Customer_ID", "snapshot_date", "label_snapshot_month", in_order())
 
 
-@query("SELECT true AS group_known, true AS features_of_group, true AS has_aucs, CAST(0 AS BIGINT) AS rows_dropped, n AS rows FROM counted",
-       training_rows=TRAINING_SQL, counted=f"""SELECT count(*) AS n FROM training_rows WHERE {split_sql(LABEL_MONTH)} <> 'Other'""")
+@query(f"""SELECT true AS group_known, true AS features_of_group, CAST(0 AS BIGINT) AS rows_dropped, CAST(sum(n) AS BIGINT) AS rows,
+       count(CASE WHEN both_labels AND split IN ('{TEST}', '{OOT}') THEN 1 END) AS aucs FROM counted""",
+       training_rows=TRAINING_SQL, counted=f"""SELECT split, count(*) AS n, min(label) < max(label) AS both_labels
+FROM (SELECT {split_sql(LABEL_MONTH)} AS split, label FROM training_rows) r WHERE split <> 'Other' GROUP BY split""")
 def ml_two_stage(inputs: Inputs) -> DataFrame:
-    """What the record of a two-stage run must hold: a chosen group among its groups with the group's features, AUCs, all rows
-    scored."""
+    """What the record of a two-stage run must hold: a chosen group among its groups with the group's features, the AUCs of the
+    later splits, all rows scored."""
     rows = training_rows(inputs)
     run = two_stage_training(rows, SPLITS, initial_trials=TRIALS, refine_trials=TRIALS, trees=SEARCH_TREES)
     record, groups = run.record, run.record["feature_groups"]
     group = record["selected_feature_group"]
-    aucs = [record[name] for name in ("stage1_best_auc", "stage2_best_auc", "test_auc", "oot_auc")]
+    aucs = [record[name] for name in ("test_auc", "oot_auc") if record[name] is not None and 0 <= record[name] <= 1]
     found = (
-        group in groups, record["selected_features"] == groups.get(group), all(a is not None and 0 <= a <= 1 for a in aucs),
-        record["rows_dropped"], run.reference.where(F.col("default_probability").between(0, 1)).count(),
+        group in groups, record["selected_features"] == groups.get(group), len(aucs), record["rows_dropped"],
+        run.reference.where(F.col("default_probability").between(0, 1)).count(),
     )
     return inputs.spark.createDataFrame(
-        [found], "group_known boolean, features_of_group boolean, has_aucs boolean, rows_dropped long, rows long"
+        [found], "group_known boolean, features_of_group boolean, aucs long, rows_dropped long, rows long"
     )
 
 

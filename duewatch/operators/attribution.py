@@ -145,15 +145,17 @@ def attribution_totals(model: BoostedTrees, df: DataFrame, tolerance: float = 1e
 
 
 def ranked_shares(totals: DataFrame) -> DataFrame:
-    """Features by falling total with rank and cumulative share. One row per feature."""
+    """Features by falling total with rank and cumulative share, an even one where all totals are 0. One row per feature."""
     order = Window.partitionBy().orderBy(F.col("total").desc(), "feature")
     whole = Window.partitionBy()
     upto = F.sum("total").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rank = F.row_number().over(order)
+    even = rank / F.count(F.lit(1)).over(whole)
     return totals.select(
         "feature",
         "total",
-        F.row_number().over(order).alias("rank"),
-        (upto / F.sum("total").over(whole)).alias("cumulative"),
+        rank.alias("rank"),
+        F.coalesce(F.try_divide(upto, F.sum("total").over(whole)), even).alias("cumulative"),
         F.count(F.lit(1)).over(whole).alias("features"),
     )
 

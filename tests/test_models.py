@@ -86,6 +86,11 @@ def test_feature_sets(spark):
     assert set(attribution.feature_groups(totals)) == {"70–90%", "90–110%", "knee"}
 
 
+def test_shares_without_any_attribution_are_even(spark):
+    totals = spark.createDataFrame([(f"f{n}", 0.0) for n in range(4)], "feature string, total double")
+    assert [row.cumulative for row in attribution.ranked_shares(totals).orderBy("rank").collect()] == [0.25, 0.5, 0.75, 1.0]
+
+
 def test_random_search_refits_the_best_trial(rows):
     model, best, trials = learning.random_search(rows, FEATURES, trials=3, folds=2, trees=3, together=2)
     trials = trials.collect()
