@@ -124,6 +124,65 @@ def test_language_model(spark, odd_docs, no_docs):
     assert lm.language_model_scores(no_docs).count() == 0
 
 
+def _score_of(model, classes, counts, total_of, text):
+    """One document's log10 probability, token by token."""
+    score, before = 0.0, [len(model.bias)] * bilinear.CONTEXT
+    for word in [*(text or "").encode().lower().split(), b" end"]:
+        number = lm._numbered(word)
+        own = int(classes.of(np.array([number], np.uint64))[0])
+        hidden = sum(model.inputs[c].astype(float) * model.places[i] for i, c in enumerate(before))
+        scores = model.outputs.astype(float) @ hidden + model.bias
+        score += (scores[own] - np.log(np.exp(scores).sum())) / math.log(10)
+        if own >= len(classes.short):
+            score += math.log10((counts[number] + 0.5) / total_of[own])
+        before = [own, *before[:-1]]
+    return score
+
+
+def test_language_model_scores_follow_the_model_and_no_partitions(spark, odd_docs, monkeypatch):
+    """Scores equal a token-by-token evaluation of the last model, for every way the rows are dealt."""
+    models = []
+    kept = lm._scored
+    monkeypatch.setattr(lm, "_scored", lambda model, *rest: models.append(model) or kept(model, *rest))
+    found_classes = []
+    merged = lm._classes
+    monkeypatch.setattr(lm, "_classes", lambda reports: found_classes.append(merged(reports)) or found_classes[-1])
+    runs = [
+        sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.language_model_scores(
+            odd_docs.repartition(parts), block_bytes=1500, range_bytes=4000).collect())
+        for parts in (1, 6)
+    ]
+    assert runs[0] == runs[1]
+    counts = collections.Counter()
+    rows = odd_docs.collect()
+    for r in rows:
+        if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 != 1:
+            counts.update(lm._numbered(w) for w in [*(r.text or "").encode().lower().split(), b" end"])
+    classes = found_classes[-1]
+    total_of = collections.Counter()
+    for number, n in counts.items():
+        total_of[int(classes.of(np.array([number], np.uint64))[0])] += n + 0.5
+    total_of = {c: total_of[c] + 0.5 for c in range(len(classes.frequencies))}
+    expected = sorted(
+        (str(r.doc_id), len((r.text or "").split()), _score_of(models[-1], classes, counts, total_of, r.text))
+        for r in rows if r.text is None or len(r.text) < 20_000
+    )
+    wanted = {}
+    for key, _, score in expected:
+        wanted.setdefault(key, []).append(score)
+    for key, _, score in runs[0]:
+        if key in wanted and len(wanted[key]) == 1:
+            assert score == pytest.approx(wanted[key][0], rel=1e-4, abs=1e-3)
+
+
+def test_models_are_averaged_level_by_level(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN", 3)
+    rng = np.random.default_rng(0)
+    own = [(i, float(i % 5 + 1), rng.normal(size=4)) for i in range(20)]
+    table = spark.createDataFrame([(i, w, m.tobytes()) for i, w, m in own], "unit int, weight double, model binary")
+    assert lm._averaged(table, 20) == pytest.approx(np.average([m for *_, m in own], axis=0, weights=[w for _, w, _ in own]))
+
+
 def test_class_probabilities_sum_to_one_and_learn_contexts():
     rng = np.random.default_rng(0)
     classes = np.where(np.arange(60_000) % 2 == 0, rng.integers(0, 5, 60_000), rng.integers(5, 10, 60_000))
