@@ -136,12 +136,12 @@ GROUP BY ALL""",
 }
 
 
-@query("""SELECT p.feature, p.is_reference, p.bins, b.bin, round(p.low + b.bin * p.width, 6) AS bin_start,
-       round(p.low + (b.bin + 1) * p.width, 6) AS bin_end, round(b.n / (p.n * p.width), 6) AS density
-FROM (SELECT *, (high - low) / bins AS width FROM plan_side) p
-JOIN binned b ON b.feature = p.feature AND b.is_reference = p.is_reference""", **DRIFT_VIEWS, **HISTOGRAM_VIEWS)
+@query("""SELECT p.feature, p.is_reference, p.bins, p.bin, round(p.low + p.bin * p.width, 6) AS bin_start,
+       round(p.low + (p.bin + 1) * p.width, 6) AS bin_end, round(coalesce(b.n, 0) / (p.n * p.width), 6) AS density
+FROM (SELECT *, (high - low) / bins AS width, unnest(range(bins)) AS bin FROM plan_side) p
+LEFT JOIN binned b ON b.feature = p.feature AND b.is_reference = p.is_reference AND b.bin = p.bin""", **DRIFT_VIEWS, **HISTOGRAM_VIEWS)
 def stat_histogram(inputs: Inputs) -> DataFrame:
-    return rounded(drift.density_histogram(sides(inputs), "is_reference", NUMERIC))
+    return rounded(drift.density_histogram(sides(inputs), "is_reference", NUMERIC, empty_bins=True))
 
 
 def reference_and_current(inputs: Inputs) -> tuple[DataFrame, DataFrame]:

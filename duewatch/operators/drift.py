@@ -168,12 +168,17 @@ def _auto_bins(rows, low, high, quartile_range):
     return F.when(spread > 0, F.ceil(spread / width)).otherwise(F.lit(1)).cast("long")
 
 
-def density_histogram(both: DataFrame, side: str, features: list[str], bins: int | None = None) -> DataFrame:
-    """Density of each bin that holds a value, per feature and side; each side has its own range and bin count.
+BIN_LOT = 10_000  # bins are numbered in lots of so many
 
-    The bin count is automatic, or ``bins`` if given, at every size, and comes along as ``bins``; bins that are not listed are
-    empty. So there are never more rows than distinct values, however far apart these lie. The rows are read once: ranges,
-    quartiles and bins all come from the written counts of distinct values.
+
+def density_histogram(
+    both: DataFrame, side: str, features: list[str], bins: int | None = None, empty_bins: bool = False
+) -> DataFrame:
+    """Density of each bin per feature and side; each side has its own range and bin count.
+
+    The bin count is automatic, or ``bins`` if given, at every size, and comes along as ``bins``. ``empty_bins`` lists all
+    bins, those without a value with density 0; otherwise there are never more rows than distinct values, however far apart
+    these lie. The rows are read once: ranges, quartiles and bins all come from the written counts of distinct values.
     """
     values = long_values(both, side, features, "double")
     counts = values.groupBy("feature", "value").agg(*side_counts(side))
@@ -224,6 +229,13 @@ def density_histogram(both: DataFrame, side: str, features: list[str], bins: int
         .groupBy(*keys, "bin")
         .agg(F.sum("_rows").alias("_count"))
     )
+    if empty_bins:
+        # Lots spread over the tasks before they become bins, as one far value makes very many.
+        lots = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(bins - 1) div {BIN_LOT}")))
+        spread = sides.select(*keys, "bins", lots.alias("_lot")).hint("rebalance")
+        own = F.sequence(F.col("_lot") * BIN_LOT, F.least((F.col("_lot") + 1) * BIN_LOT, F.col("bins")) - 1)
+        listed = spread.select(*keys, F.explode(own).alias("bin"))
+        counted = listed.join(counted, [*keys, "bin"], "left").withColumn("_count", F.coalesce("_count", F.lit(0)))
     return counted.join(F.broadcast(sides), keys).select(
         "feature",
         (F.col("_part") == "reference").alias(side),

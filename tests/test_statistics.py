@@ -270,3 +270,24 @@ def test_one_far_value_does_not_blow_up_a_histogram(spark):
     own = [row for row in found if row.s]
     assert len(own) <= 51 and own[0].bins > 10**8
     assert sum(row.density * (row.bin_end - row.bin_start) for row in own) == pytest.approx(1, abs=1e-6)
+
+
+def test_histograms_can_list_their_empty_bins(spark):
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.normal(size=300), [40.0]])
+    rows = density_histogram(sides_frame(spark, values, [1.0, 2.0]), "is_reference", ["x"], bins=25_000, empty_bins=True).collect()
+    found = {side: [r.density for r in sorted(rows, key=lambda r: r.bin) if r.is_reference == side] for side in (True, False)}
+    for side, own in ((True, values), (False, [1.0, 2.0])):
+        density, _ = np.histogram(own, bins=25_000, density=True)
+        assert found[side] == pytest.approx(list(density))
+
+
+def test_the_histogram_query_lists_every_bin(spark):
+    from duewatch.catalog import QUERIES
+
+    found = {}
+    for row in QUERIES["stat_histogram"](spark, "/root/testdata/sf0.001").collect():
+        found.setdefault((row.feature, row.is_reference, row.bins), []).append(row)
+    for (_, _, bins), rows in found.items():
+        assert sorted(row.bin for row in rows) == list(range(bins))
+    assert any(row.density == 0 for rows in found.values() for row in rows)
