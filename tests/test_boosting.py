@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from duewatch.operators import attribution, boosting, learning
 from duewatch.operators.boosting import BoostedTrees
@@ -197,3 +198,23 @@ def test_the_sampler_repeats_itself_and_takes_unknown_values():
             sampler.tell(points[-1], None if n % 3 == 0 else bowl(points[-1]))
         runs.append(points)
     assert runs[0] == runs[1]
+
+
+def test_binned_rows_are_dealt_to_the_cores(spark):
+    from duewatch.operators.learning import LEAST_ROWS, numbered_bins
+
+    rows = spark.range(5 * LEAST_ROWS).select((F.col("id") % 2).cast("int").alias("label"), F.col("id").cast("double").alias("x"))
+    binned, _ = numbered_bins(rows, ["x"], [], 2, 42, 16)
+    cores = spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in binned.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == min(5, cores) and max(sizes) < 2 * min(sizes) and sum(sizes) == 5 * LEAST_ROWS
+
+
+def test_binary_columns_decode_from_any_slice():
+    import pyarrow as pa
+    from duewatch.operators.boosting import _numbers
+
+    values = np.arange(30, dtype=np.int16).reshape(10, 3)
+    column = pa.array([row.tobytes() for row in values], pa.binary())
+    assert _numbers(column.slice(4, 3), np.int16).reshape(3, 3).tolist() == values[4:7].tolist()
+    assert _numbers(column.slice(0, 0), np.int16).size == 0
