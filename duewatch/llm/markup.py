@@ -260,6 +260,17 @@ def subtrees(root: Element, main: Element | None) -> dict[int, int | None]:
     return found
 
 
+def deletable(part: Element, inside: bool) -> set[int]:
+    """The digests of all subtrees below ``part`` that the text comes from."""
+    found, waiting = set(), [part]
+    while waiting:
+        for child in waiting.pop().children:
+            if not isinstance(child, str) and not is_furniture(child, inside):
+                found.add(child.digest)
+                waiting.append(child)
+    return found
+
+
 def template_of(part: Element, inside: bool, recurring: set[int]) -> set[int]:
     """The recurring digests to delete below ``part``: none if more words than stay would go, as in edited copies of a text."""
     gone, waiting = 0, [(part, False)]

@@ -12,7 +12,8 @@ name a section of it (see ``markup.SECTION_WORDS``) mark nothing.
 
 Equal rows are dropped in every task before the shuffle, and counted by (host,
 hash, text), so a host with a third of all pages spreads over all tasks. A page finds its template subtrees by a
-join on (host, hash).
+join on (host, hash), of those only that lie in the part its text comes from; what menus and footers hold is counted but
+needs no deletion. The pages themselves are shuffled once, compressed one by one.
 
 Pages without html have an empty text. Pages without a url form one host. Rows
 that repeat each other get the same text. Extra columns are not read.
@@ -20,11 +21,13 @@ that repeat each other get the same text. Extra columns are not read.
 
 from __future__ import annotations
 
+import zlib
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duewatch.llm.markup import block_texts, digested_main, main_part, parsed, subtrees, template_of
+from duewatch.llm.markup import block_texts, deletable, digested_main, main_part, parsed, subtrees, template_of
 from duewatch.llm.scratch import Scratch
 
 LEAST_PAGES = 3  # with different texts
@@ -32,26 +35,38 @@ LEAST_PAGES = 3  # with different texts
 
 def _subtrees(batches):
     for batch in batches:
-        pages, digests, beside = [], [], []
+        pages, digests, beside, inside = [], [], [], []
         for place, text in enumerate(batch.column("html").to_pylist()):
             root = parsed(text or "")
-            own = subtrees(root, digested_main(root))
+            main = digested_main(root)
+            own = subtrees(root, main)
+            in_text = deletable(main or root, main is not None)
             pages.extend([place] * len(own))
             digests.extend(own)
             beside.extend(own.values())
+            inside.extend(digest in in_text for digest in own)
         taken = pa.array(pages, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("key").take(taken), batch.column("host").take(taken), pa.array(digests, pa.int64()),
-             pa.array(beside, pa.int64())],
-            names=["key", "host", "digest", "beside"],
+             pa.array(beside, pa.int64()), pa.array(inside, pa.bool_())],
+            names=["key", "host", "digest", "beside", "inside"],
+        )
+
+
+def _packed(batches):
+    for batch in batches:
+        html = [zlib.compress((text or "").encode()) for text in batch.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("page_id"), batch.column("url"), pa.array(html, pa.binary())],
+            names=["key", "page_id", "url", "html"],
         )
 
 
 def _texts(batches):
     for batch in batches:
         texts = []
-        for text, deleted in zip(batch.column("html").to_pylist(), batch.column("deleted").to_pylist()):
-            root = parsed(text or "")
+        for packed, deleted in zip(batch.column("html").to_pylist(), batch.column("deleted").to_pylist()):
+            root = parsed(zlib.decompress(packed).decode())
             own = set(deleted or ())
             main = digested_main(root) if own else main_part(root)
             if own:
@@ -75,7 +90,9 @@ def main_texts(
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     keyed = source.withColumn("host", host).withColumn("key", F.xxhash64("page_id", "url", "html"))
     found = scratch.put(
-        keyed.select("key", "host", "html").mapInArrow(_subtrees, "key long, host string, digest long, beside long"), "subtrees"
+        keyed.select("key", "host", "html").mapInArrow(
+            _subtrees, "key long, host string, digest long, beside long, inside boolean"
+        ), "subtrees"
     )
     template = (
         found.filter("beside is not null").select("host", "digest", "beside").distinct()
@@ -83,11 +100,16 @@ def main_texts(
         .select("host", "digest")
     )
     deleted = scratch.put(
-        found.join(template, ["host", "digest"]).groupBy("key").agg(F.collect_set("digest").alias("deleted")), "deleted"
+        found.filter("inside").join(template, ["host", "digest"]).groupBy("key").agg(F.collect_set("digest").alias("deleted")),
+        "deleted",
     )
     scratch.drop(found)
     id_type = source.schema["page_id"].dataType.simpleString()
-    texts = keyed.select("key", "page_id", "url", "html").join(deleted, "key", "left").select(
+    packed = keyed.select("key", "page_id", "url", "html").mapInArrow(
+        _packed, f"key long, page_id {id_type}, url string, html binary"
+    )
+    # The same plan at every size; the lists of a small table would be broadcast, those of a large one are too many for it.
+    texts = packed.join(deleted.hint("merge"), "key", "left").select(
         "page_id", "url", "html", "deleted"
     ).mapInArrow(_texts, f"page_id {id_type}, url string, text string")
     return texts.select(

@@ -343,3 +343,13 @@ def test_pipeline_stages(spark, odd_docs):
     final = QUERIES["pipeline"](spark, SMALL)
     assert final.count() > 0
     assert {r.doc_id for r in final.collect()} <= {r.doc_id for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+
+
+def test_only_subtrees_of_the_main_part_can_be_deleted():
+    from duewatch.llm.markup import deletable, digested_main, parsed, subtrees
+
+    root = parsed("<nav><ul><li>menu here</li></ul></nav><article><p>one two three</p><div><b>box</b></div></article>")
+    main = digested_main(root)
+    found = deletable(main, True)
+    assert 0 < len(found & set(subtrees(root, main))) < len(subtrees(root, main))
+    assert found == {main.children[0].digest, main.children[1].digest, main.children[1].children[0].digest}
