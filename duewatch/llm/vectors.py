@@ -1,7 +1,9 @@
 """Near duplicates among embeddings: spherical k-means cells and blocked cosine products within them.
 
-Vectors that are equal in every component are one class. Each vector length has
-cells of its own. Centres are fitted on a bounded sample; every class then has a
+Vectors that are equal in every component are one class. Of a length with many
+classes, only those that can have a partner go on, in groups that no pair of
+similar vectors crosses (see ``screening``); the classes of a shorter list are one
+group. A large group has cells of its own. Centres are fitted on a bounded sample; every class then has a
 home cell, the nearest centre's. It is also sent, as a guest, to each
 lower-numbered cell that can be the home of a partner, so that a pair whose homes
 differ meets once, in the lower one, and no pair is lost. A partner y of x lies
@@ -20,20 +22,23 @@ nothing; so do rows without an id, which have no component and are kept. Repeate
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from duewatch.llm import screening
 from duewatch.llm.blocks import blocked, paired
 from duewatch.llm.components import connected_components
 from duewatch.llm.scratch import Scratch
 
 THRESHOLD = 0.95
 CELL = 2048  # classes per cell aimed at
-MOST_CELLS = 1024  # bounds the centres every task gets
+MOST_CELLS = 1024  # of a vector length; bounds the centres every task gets
+SCREENED = 8192  # classes of a length from which they are screened first
 SAMPLE = 8192  # classes the centres are fitted on, the first in the order of their hash
 ROUNDS = 10
 BLOCK = 1024
@@ -43,7 +48,10 @@ SLACK = 1e-9  # for rounding
 
 def _units(column, rows: int, narrow: bool) -> np.ndarray:
     """Unit vectors in double precision. ``narrow``: the column holds single-precision vectors of any length."""
-    values = np.frombuffer(b"".join(column.to_pylist()), np.float32 if narrow else np.float64).reshape(rows, -1)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    ends, kind = np.frombuffer(column.buffers()[1], np.int32), np.dtype(np.float32 if narrow else np.float64)
+    start, end = int(ends[column.offset]), int(ends[column.offset + rows])
+    values = np.frombuffer(column.buffers()[2], kind, (end - start) // kind.itemsize, start).reshape(rows, -1)
     if narrow:
         values = values.astype(np.float64)
         values /= np.sqrt(np.einsum("ij,ij->i", values, values))[:, None]
@@ -58,8 +66,34 @@ def _prepared(narrow: bool):
     return run
 
 
+def _plain(vectors: pa.Array, kind: type) -> np.ndarray | None:
+    """The vectors as rows, if all have one length and only ordinary components."""
+    flat = vectors.flatten()
+    if not len(vectors) or vectors.null_count or flat.null_count or not len(flat) or len(flat) % len(vectors):
+        return None
+    sizes = np.diff(vectors.offsets.to_numpy())
+    if (sizes != sizes[0]).any():
+        return None
+    own = flat.to_numpy().astype(kind, copy=False).reshape(len(vectors), -1)
+    squares = np.einsum("ij,ij->i", own, own, dtype=np.float64)
+    return own if (np.isfinite(squares) & (squares > 1e-200)).all() else None
+
+
 def _prepared_batch(batch: pa.RecordBatch, narrow: bool) -> pa.RecordBatch:
     keys, sizes, data = [], [], []
+    plain = _plain(batch.column("vector"), np.float32 if narrow else np.float64)
+    if plain is not None:
+        wide = plain.astype(np.float64)
+        units = plain if narrow else np.stack([own / float(np.sqrt(own @ own)) for own in wide])
+        hashed, data = (wide + 0.0).tobytes(), units.tobytes()
+        step, held = 8 * plain.shape[1], units.itemsize * plain.shape[1]
+        keys = [xxhash.xxh3_64_intdigest(hashed[i : i + step]) - (1 << 63) for i in range(0, len(hashed), step)]
+        sizes = np.full(len(plain), plain.shape[1], np.int32)
+        ends = np.arange(len(plain) + 1, dtype=np.int32) * held
+        unit = pa.Array.from_buffers(pa.binary(), len(plain), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(keys, pa.int64()), pa.array(sizes), unit], names=["id", "key", "size", "unit"]
+        )
     for values in batch.column("vector").to_pylist():
         own = np.array(values, np.float64) if values and None not in values else np.empty(0)
         norm = float(np.sqrt(own @ own)) if len(own) and np.isfinite(own).all() else 0.0
@@ -94,13 +128,14 @@ def spherical_centres(units: np.ndarray, cells: int, rounds: int = ROUNDS) -> np
 
 
 def _fitted(narrow: bool):
-    """Centres of one vector length from its sample."""
+    """Centres of one group from its sample."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("draw", "ascending"), ("key", "ascending")]).slice(0, SAMPLE)
         units = _units(table.column("unit"), table.num_rows, narrow)
         centres = spherical_centres(units, min(table.column("cells")[0].as_py(), len(units)))
-        return pa.table({"size": table.column("size").slice(0, 1), "centres": pa.array([centres.tobytes()], pa.binary())})
+        group = {name: table.column(name).slice(0, 1) for name in ("size", "root")}
+        return pa.table(group | {"centres": pa.array([centres.tobytes()], pa.binary())})
 
     return run
 
@@ -112,30 +147,29 @@ def guests_of(near: np.ndarray, home: np.ndarray, apart: np.ndarray, threshold:
     return (best[:, None] - near <= reach * apart[home] + SLACK) & (np.arange(near.shape[1]) < home[:, None])
 
 
-def _dealt(centres: dict[int, tuple[int, np.ndarray]], threshold: float, narrow: bool):
-    """``centres``: of each vector length, the number of its first cell and its centres."""
+def _dealt(centres: dict[tuple[int, int], np.ndarray], threshold: float, narrow: bool):
+    """``centres``: of each large group."""
 
     def run(batches):
         apart = {
-            size: np.sqrt(np.maximum(0, 2 - 2 * np.clip(own @ own.T, -1, 1))) + SLACK for size, (_, own) in centres.items()
+            group: np.sqrt(np.maximum(0, 2 - 2 * np.clip(own @ own.T, -1, 1))) + SLACK for group, own in centres.items()
         }
         for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            for size in np.unique(sizes):
-                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                first, own = centres[int(size)]
+            groups = np.stack([batch.column(name).to_numpy() for name in ("size", "root")], axis=1)
+            for group in map(tuple, np.unique(groups, axis=0).tolist()):
+                part = batch.take(pa.array(np.flatnonzero((groups == group).all(axis=1))))
                 units = _units(part.column("unit"), part.num_rows, narrow)
-                near = units @ own.T
+                near = units @ centres[group].T
                 home = near.argmax(axis=1)
-                sent = guests_of(near, home, apart[int(size)], threshold)
+                sent = guests_of(near, home, apart[group], threshold)
                 sent[np.arange(len(home)), home] = True
                 rows, cells = np.nonzero(sent)
                 for start in range(0, len(rows), 8192):
                     place, cell = rows[start : start + 8192], cells[start : start + 8192]
                     taken = part.take(pa.array(place))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array((cell + first).astype(np.int32)), pa.array(cell == home[place]), *taken.columns],
-                        names=["cell", "home", *batch.schema.names],
+                        [pa.array(cell.astype(np.int32)), pa.array(cell == home[place]), *taken.columns],
+                        names=["part", "home", *batch.schema.names],
                     )
 
     return run
@@ -180,22 +214,52 @@ def _linked(same: bool, threshold: float, narrow: bool):
     return run
 
 
-def _centres(classes: DataFrame, narrow: bool) -> dict[int, tuple[int, np.ndarray]]:
-    """Of each vector length, the number of its first cell and its centres."""
+def _screened(vectors: DataFrame, classes: DataFrame, scratch: Scratch, threshold: float, narrow: bool) -> DataFrame:
+    """(size, key, unit, root) of the vectors to be compared, with their group, the root."""
+    kinds = [(row["size"], row["total"]) for row in classes.groupBy("size").agg(F.count(F.lit(1)).alias("total")).collect()]
+    plans = {size: found for size, total in kinds if total >= SCREENED and (found := screening.plan(total, size, threshold))}
+    vectors = vectors.select("size", "key", "unit")
+    whole = vectors.filter(~F.col("size").isin(list(plans))).withColumn("root", F.lit(0).cast("long"))
+    if not plans:
+        return whole
+    links = []
+    for table in range(max(tables for _, tables, _ in plans.values())):
+        own = {size: found for size, found in plans.items() if table < found[1]}
+        rows = vectors.filter(F.col("size").isin(list(own))).mapInArrow(
+            screening.sent(own, table, lambda column, rows: _units(column, rows, narrow)), screening.SENT_SCHEMA
+        )
+        links.append(
+            scratch.put(
+                rows.repartition(sum(parts for _, _, parts in own.values()), "part").mapInArrow(
+                    screening.met(threshold), "a long, b long"
+                ),
+                "met",
+            )
+        )
+    roots = connected_components(reduce(DataFrame.unionByName, links), scratch)
+    scratch.drop(*links)
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    some = vectors.filter(F.col("size").isin(list(plans))).join(members.withColumnRenamed("node", "key"), "key")
+    return whole.unionByName(some)
+
+
+def _large(classes: DataFrame) -> DataFrame:
+    """(size, root, total, cells) of the groups that are divided into cells."""
+    groups = classes.groupBy("size", "root").agg(F.count(F.lit(1)).alias("total")).filter(F.col("total") >= 2 * CELL)
+    cell = F.greatest(F.lit(CELL), F.sum("total").over(Window.partitionBy("size")) / MOST_CELLS)
+    return groups.withColumn("cells", F.floor(F.col("total") / cell).cast("int")).filter("cells > 1")
+
+
+def _centres(classes: DataFrame, large: DataFrame, narrow: bool) -> dict[tuple[int, int], np.ndarray]:
+    """Of each large group, its centres."""
     draws = 1 << 30
-    counts = classes.groupBy("size").agg(F.count(F.lit(1)).alias("total"))
     sample = (
-        classes.withColumn("draw", F.pmod(F.xxhash64("key"), F.lit(draws))).join(F.broadcast(counts), "size")
-        .filter(F.col("draw") * F.col("total") <= 2 * SAMPLE * draws)
-        .withColumn("cells", F.greatest(F.lit(1), F.least(F.lit(MOST_CELLS), F.floor(F.col("total") / CELL))).cast("int"))
-        .select("size", "key", "draw", "unit", "cells")
+        classes.withColumn("draw", F.pmod(F.xxhash64("key"), F.lit(draws))).join(F.broadcast(large), ["size", "root"])
+        .filter(F.col("draw") <= 2 * SAMPLE * draws / F.col("total"))
+        .select("size", "root", "key", "draw", "unit", "cells")
     )
-    found, first = {}, 0
-    for row in sample.groupBy("size").applyInArrow(_fitted(narrow), "size int, centres binary").orderBy("size").collect():
-        own = np.frombuffer(row["centres"]).reshape(-1, row["size"])
-        found[row["size"]] = first, own
-        first += len(own)
-    return found
+    found = sample.groupBy("size", "root").applyInArrow(_fitted(narrow), "size int, root long, centres binary").collect()
+    return {(row["size"], row["root"]): np.frombuffer(row["centres"]).reshape(-1, row["size"]) for row in found}
 
 
 def _block_counts(rows: DataFrame) -> DataFrame:
@@ -208,25 +272,37 @@ def similar_vectors(
     rows: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per row of ``rows``: id, n_links, component_id and kept."""
-    scratch = Scratch(rows.sparkSession)
+    scratch = Scratch(rows.sparkSession, swept=True)
+    narrow = rows.schema[vector_column].dataType.simpleString() == "array<float>"
     source = rows.select(
-        F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector_column}`").cast("array<double>").alias("vector")
+        F.col(f"`{id_column}`").alias("id"),
+        F.col(f"`{vector_column}`").cast(f"array<{'float' if narrow else 'double'}>").alias("vector"),
     )
     id_type = source.schema["id"].dataType.simpleString()
-    narrow = rows.schema[vector_column].dataType.simpleString() == "array<float>"
     vectors = scratch.put(source.mapInArrow(_prepared(narrow), f"id {id_type}, key long, size int, unit binary"), "vectors")
+    named = vectors.filter(F.col("size").isNotNull() & F.col("id").isNotNull())
     classes = scratch.put(
-        vectors.filter(F.col("size").isNotNull() & F.col("id").isNotNull()).groupBy("size", "key").agg(
-            F.min("id").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit")
+        named.groupBy("size", "key").agg(F.min("id").alias("doc"), F.count(F.lit(1)).alias("n")), "classes"
+    )
+    rows = scratch.put(vectors.select("id", "key"), "rows")
+    compared = scratch.put(
+        _screened(named, classes, scratch, threshold, narrow).groupBy("size", "root", "key").agg(
+            F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit")
         ),
-        "classes",
+        "compared",
+    )
+    scratch.drop(vectors)
+    large = scratch.put(_large(compared), "large")
+    group, columns = ["size", "root"], ["part", "home", "size", "root", "key", "n", "unit"]
+    divided = compared.join(F.broadcast(large), group, "left_semi").select(*columns[2:]).mapInArrow(
+        _dealt(_centres(compared, large, narrow), threshold, narrow),
+        "part int, home boolean, size int, root long, key long, n long, unit binary",
     )
+    undivided = compared.join(F.broadcast(large), group, "left_anti").withColumns({"part": F.lit(0), "home": F.lit(True)})
     dealt = scratch.put(
-        classes.select("size", "key", "n", "unit").mapInArrow(
-            _dealt(_centres(classes, narrow), threshold, narrow), "cell int, home boolean, size int, key long, n long, unit binary"
-        ),
-        "cells",
+        undivided.select(*columns).unionByName(divided).withColumn("cell", F.struct("size", "root", "part")), "cells"
     )
+    scratch.drop(compared)
     homes, guests = dealt.filter("home"), dealt.filter("not home")
     columns = ["key", "n", "unit"]
     home_lists = scratch.put(blocked(homes, "cell", "key", columns, BLOCK, _block_counts(homes)), "homes")
@@ -254,7 +330,7 @@ def similar_vectors(
     scratch.drop(linked, classes)
     named = F.col("id").isNotNull()
     own = F.coalesce(F.when(named, F.col("leader")), F.col("id"))
-    return vectors.select("id", "key").join(final, "key", "left").select(
+    return rows.join(final, "key", "left").select(
         F.col("id").alias(id_column), F.coalesce(F.when(named, F.col("links")), F.lit(0)).cast("long").alias("n_links"),
         own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"),
     )

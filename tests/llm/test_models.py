@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from duewatch.llm import bilinear, lm, markup, ordinal, pages, robust, string_kernel, toxicity, vectors
+from duewatch.llm import bilinear, lm, markup, ordinal, pages, robust, screening, string_kernel, toxicity, vectors
 from duewatch.llm.queries import QUERIES
 from tests.llm.conftest import prose
 
@@ -247,6 +247,82 @@ def test_no_pair_of_similar_vectors_is_lost(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in vectors.similar_vectors(narrow).collect()}.items() <= expected.items()
 
 
+def test_vectors_without_partners_are_not_copied_to_cells(spark, monkeypatch):
+    """What is written for the comparison follows the similar vectors, not the square of all."""
+    from duewatch.llm.scratch import Scratch
+
+    written, put = {}, Scratch.put
+
+    def counted(self, df, name):
+        table = put(self, df, name)
+        written[name] = written.get(name, 0) + self.bytes_of(table)
+        return table
+
+    monkeypatch.setattr(Scratch, "put", counted)
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(16_000, 32)).astype(np.float32)
+    data[15_900:] = data[:100] + rng.normal(0, 0.05, (100, 32))
+    table = spark.createDataFrame(list(zip(range(len(data)), data.tolist())), "vec_id long, embedding array<float>")
+    found = vectors.similar_vectors(table.repartition(4)).filter("n_links > 0").collect()
+    assert {(r.vec_id, r.component_id) for r in found} == {(i, i % 15_900) for i in (*range(100), *range(15_900, 16_000))}
+    assert sum(written[name] for name in ("cells", "homes", "guests")) < data.nbytes
+
+
+def test_screening_keeps_every_similar_pair(spark, monkeypatch):
+    """Vectors in a few dimensions of many, around one direction, with partners just above the threshold."""
+    monkeypatch.setattr(vectors, "SCREENED", 100)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(3000, 5)) + [3, 0, 0, 0, 0]
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(axis=1)[:, None] * base
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    alike = rng.uniform(0.9501, 0.952, 3000)[:, None]
+    flat = np.linalg.qr(rng.normal(size=(48, 5)))[0]
+    spread = rng.normal(size=(3000, 48))
+    units = np.concatenate([np.concatenate([base, alike * base + np.sqrt(1 - alike**2) * side])[::4] @ flat.T, spread])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in vectors.similar_vectors(table).collect()}
+    links = units @ units.T >= 0.95
+    assert [found[i].n_links for i in range(len(units))] == (links.sum(axis=1) - 1).tolist()
+    label = screening.joined(*np.nonzero(links), np.arange(len(units)))
+    assert [found[i].component_id for i in range(len(units))] == label.tolist()
+
+
+def test_crowded_buckets_and_late_rows_lose_no_partner(monkeypatch):
+    monkeypatch.setattr(screening, "CROWD", 64)
+    monkeypatch.setattr(screening, "HELD_BYTES", 2 * 16 * 300)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(6, 16))
+    data = np.concatenate([c + rng.normal(0, s, (250, 16)) for c, s in zip(centres, (0.02, 0.1, 0.2, 0.3, 0.5, 1))])
+    units = (data / np.linalg.norm(data, axis=1)[:, None]).astype(np.float32)[rng.permutation(len(data))]
+    scales = np.abs(units).max(axis=1) / 32767
+    codes = np.rint(units / scales[:, None]).astype(np.int16)
+    meeting = screening.Meeting(16, 0.95)
+    for i in range(0, len(units), 100):
+        part = slice(i, i + 100)
+        meeting.add(np.full(len(codes[part]), 7), np.arange(len(units))[part], scales[part], codes[part])
+    assert meeting.pivots
+    label = screening.joined(*meeting.finish(), np.arange(len(units)))
+    a, b = np.nonzero(units @ units.T >= 0.95)
+    assert (label[a] == label[b]).all() and len(set(label)) > 200
+
+
+def test_share_of_pairs_without_a_common_bucket():
+    rng = np.random.default_rng(6)
+    x = np.linalg.qr(rng.normal(size=(24, 2)))[0]
+    pair = np.stack([x[:, 0], 0.95 * x[:, 0] + np.sqrt(1 - 0.95**2) * x[:, 1]])
+    lost = 0
+    for table in range(2000):
+        a, b = screening.buckets((pair @ screening._directions(table, 24, 40)).astype(np.float32))
+        lost += not set(a) & set(b)
+    assert lost / 2000 < screening.missed(40, 24, 0.95) < 0.1
+    directions, tables, _ = screening.plan(10**6, 64, 0.95)
+    assert screening.missed(directions, 64, 0.95) ** tables <= screening.MISS
+    assert screening.plan(10**6, 64, 0.3) is None and screening.plan(10**6, 4, 0.95) is None
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
 <header><h2>Site</h2></header><nav><ul><li>Menu<li>More</ul></nav><div class="ad">Buy</div>
 <article><header><h1>Head &amp;  line</h1></header><p><b>First<br><p>Second &lt;x&gt;\n line</p><aside>Side</aside>
