@@ -27,7 +27,8 @@ MISS = 1e-12
 DRAWN = 8192  # pairs the share is counted on
 MOST_TABLES = 24
 LEAST_SIZE = 8  # shorter vectors all lie near each other
-PART_BYTES = 16 << 20  # of a reducer
+PART_BYTES = 4 << 20
+PARTS = 4  # of a reducer, so that chance deals them evenly
 SENT = 8192  # vectors in a row at most
 BUFFER_BYTES = 8 << 20
 HELD_BYTES = 32 << 20  # after so much, a reducer thins crowded buckets
@@ -67,7 +68,7 @@ def missed(directions: int, size: int, threshold: float) -> float:
 
 
 def plan(total: int, size: int, threshold: float) -> tuple[int, int, int] | None:
-    """Directions of a codebook, tables and reducers; none where buckets do not tell vectors apart."""
+    """Directions of a codebook, tables and parts; none where buckets do not tell vectors apart."""
     if size < LEAST_SIZE or not 0 < threshold < 1:
         return None
     directions = min(MOST_DIRECTIONS, max(2 * PROBES, math.ceil(math.sqrt(total * PROBES / ROOM))))
@@ -174,10 +175,12 @@ class Meeting:
     def _distinct(self) -> tuple[list[np.ndarray], np.ndarray]:
         """The columns with each vector once in a bucket, sorted and thinned, and where buckets start, the end included."""
         cells, keys, scales, codes = (np.concatenate(x) for x in zip(*self.waiting))
+        self.waiting = []
         order = np.lexsort((keys, cells))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(cells[order]) != 0) | (np.diff(keys[order]) != 0)
         columns = [x[order[new]] for x in (cells, keys, scales, codes)]
+        del codes
         starts = np.append(np.flatnonzero(np.diff(columns[0], prepend=-1)), new.sum())
         left = np.ones(len(columns[0]), bool)
         for start, end in zip(starts[:-1], starts[1:]):
@@ -247,7 +250,6 @@ class Meeting:
         """Each linked key but the least of its group, and that least key."""
         if self.waiting:
             (_, keys, scales, codes), starts = self._distinct()
-            self.waiting = []
             done, units = 0, np.empty((0, self.size), np.float32)
             for start, end in zip(starts[:-1], starts[1:]):
                 if end > done:
@@ -276,6 +278,7 @@ def met(threshold: float):
                     ("cells", np.int64), ("keys", np.int64), ("scales", np.float32), ("codes", np.int16)
                 )]
                 meetings.setdefault(size, Meeting(size, threshold)).add(*columns)
+            batch = columns = None  # not held while the buckets are compared
         for meeting in meetings.values():
             a, b = meeting.finish()
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])

@@ -228,13 +228,9 @@ def _screened(vectors: DataFrame, classes: DataFrame, scratch: Scratch, threshol
         rows = vectors.filter(F.col("size").isin(list(own))).mapInArrow(
             screening.sent(own, table, lambda column, rows: _units(column, rows, narrow)), screening.SENT_SCHEMA
         )
+        reducers = math.ceil(sum(parts for _, _, parts in own.values()) / screening.PARTS)
         links.append(
-            scratch.put(
-                rows.repartition(sum(parts for _, _, parts in own.values()), "part").mapInArrow(
-                    screening.met(threshold), "a long, b long"
-                ),
-                "met",
-            )
+            scratch.put(rows.repartition(reducers, "part").mapInArrow(screening.met(threshold), "a long, b long"), "met")
         )
     roots = connected_components(reduce(DataFrame.unionByName, links), scratch)
     scratch.drop(*links)
